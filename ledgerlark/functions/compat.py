@@ -53,15 +53,23 @@ def default_pct(target: ColumnOrName = "TARGET") -> Column:
     return F.round(F.lit(100) * F.avg(_c(target)), 2)
 
 
-# The white-space class stripped by the reference's ``trim``
-# (leading/trailing white space of any kind), written once so the DuckDB
-# oracle can use the same text.
-WS_TRIM_PATTERN = r"^\s+|\s+$"
+# The characters stripped by the reference's ``trim`` -- every
+# Unicode White_Space code point (U+0009-U+000D, U+0020, U+0085, U+00A0,
+# U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000).
+WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def trim_ws(x: ColumnOrName) -> Column:
-    """``trim``: strip leading and trailing white space of any kind (T10)."""
-    return F.regexp_replace(_c(x), WS_TRIM_PATTERN, "")
+    """``trim``: strip leading and trailing white space of any kind (T10).
+
+    Spark's one-argument ``trim`` strips U+0020 only; ``btrim`` with the
+    explicit character set is a plain JVM scan (no regular expression).
+    """
+    return F.btrim(_c(x), F.lit(WHITESPACE))
 
 
 # The word delimiters of the reference dialect's ``initcap``
@@ -111,6 +119,17 @@ def distinct_joined(x: ColumnOrName, sep: str = " | ") -> Column:
     return F.when(F.size(s) > 0, F.array_join(s, sep))
 
 
+def count_distinct_category(x: ColumnOrName) -> Column:
+    """``count(distinct x)`` for a low-cardinality category (a handful of codes).
+
+    ``size(collect_set(x))`` merges map-side and its buffer is bounded by the
+    category's domain, so it needs no extra exchange on (group, value) the
+    way the general distinct-aggregate rewrite does.  Not for id columns: a
+    hot group's set of ids would grow with the data; use ``count_distinct``.
+    """
+    return F.size(F.collect_set(_c(x))).cast("bigint")
+
+
 def money_sum(x: ColumnOrName, scale: int = 2) -> Column:
     """Order-independent sum of a money column (T18).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.compat import count_if, greatest_nullprop, money_sum, safe_div
+from ..functions.compat import count_distinct_category, count_if, greatest_nullprop, money_sum, safe_div
 
 HOME_CURRENCY = "currency 1"  # Fixed value: the only currency money totals are summed in.
 
@@ -22,7 +22,7 @@ def mart_customer_credit_history(enriched: DataFrame) -> DataFrame:
         count_if(F.col("CREDIT_ACTIVE") == "Active").alias("active_loans"),
         count_if(F.col("CREDIT_ACTIVE") == "Closed").alias("closed_loans"),
         count_if(F.col("CREDIT_ACTIVE") == "Bad debt").alias("bad_debt_loans"),
-        F.count_distinct("CREDIT_TYPE").alias("distinct_credit_types"),
+        count_distinct_category("CREDIT_TYPE").alias("distinct_credit_types"),
         (F.lit(-1) * F.max("DAYS_CREDIT")).alias("days_since_newest_loan"),
         (F.lit(-1) * F.min("DAYS_CREDIT")).alias("days_since_oldest_loan"),
         count_if(F.col("DAYS_CREDIT") >= -365).alias("loans_opened_last_year"),

@@ -1,25 +1,51 @@
 """Credit source tables derived by Spark from the driver's test data.
 
-``fixture_tables(spark, sf_dir)`` returns lazy DataFrames named like the
-reference's raw tables.  Nothing is collected: each view is a projection (and
-for three of them a join or DISTINCT) that Catalyst plans together with the
+``fixture_tables(spark, sf_dir)`` returns the eight credit tables, named like
+the reference's raw tables, as lazy DataFrames: each view is built (and
+analysed) only when first used, and Catalyst plans it together with the
 query that reads it, so column pruning and filter pushdown reach the parquet
-scans.
+scans.  ``load_fixture_tables`` writes them once to the shared folder, the
+way the reference's raw tables sit in the warehouse, and reads them back.
 """
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .fixture_views import VIEWS, ViewSpec
 
-DRIVER_TABLES = ("customer", "supplier", "orders", "lineitem", "events")
+_L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+
+# Schemas of the driver tables we read (TESTDATA.md), so no footer is read for inference.
+DRIVER_SCHEMAS: dict[str, T.StructType] = {
+    "customer": T.StructType([T.StructField(n, t) for n, t in [
+        ("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D), ("c_mktsegment", _S)]]),
+    "supplier": T.StructType([T.StructField(n, t) for n, t in [
+        ("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)]]),
+    "orders": T.StructType([T.StructField(n, t) for n, t in [
+        ("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
+        ("o_orderdate", T.TimestampNTZType()), ("o_orderpriority", _S)]]),
+    "lineitem": T.StructType([T.StructField(n, t) for n, t in [
+        ("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
+        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
+        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", T.TimestampNTZType())]]),
+    "events": T.StructType([T.StructField(n, t) for n, t in [
+        ("event_id", _L), ("ts", T.TimestampNTZType()), ("user_id", _L), ("event_type", _S),
+        ("value", _D), ("props", _S)]]),
+}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path)
+    except Exception:  # noqa: BLE001 -- a differently typed file: fall back to its own schema
+        return spark.read.parquet(path)
 
 
 def _with_order_day(orders: DataFrame) -> DataFrame:
@@ -37,7 +63,7 @@ def _with_order_day(orders: DataFrame) -> DataFrame:
     return orders.withColumn("_o_day", day)
 
 
-def build_view(spec: ViewSpec, raw: dict[str, DataFrame]) -> DataFrame:
+def build_view(spec: ViewSpec, raw: Mapping[str, DataFrame]) -> DataFrame:
     base = raw[spec.base]
     if spec.base == "orders":
         base = _with_order_day(base)
@@ -49,7 +75,51 @@ def build_view(spec: ViewSpec, raw: dict[str, DataFrame]) -> DataFrame:
     return df.distinct() if spec.distinct else df
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All eight credit source tables as lazy DataFrames over ``sf_dir``."""
-    raw = {t: _read(spark, sf_dir, t) for t in DRIVER_TABLES}
-    return {name: build_view(spec, raw) for name, spec in VIEWS.items()}
+class LazyTables(Mapping[str, DataFrame]):
+    """Name -> DataFrame, each built on first access and then reused."""
+
+    def __init__(self, builders: Mapping[str, object]) -> None:
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+        self._lock = threading.Lock()
+
+    def __getitem__(self, name: str) -> DataFrame:
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = self._builders[name]()  # type: ignore[operator]
+            return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+_CACHE: dict[tuple[str, str], LazyTables] = {}
+
+
+def fixture_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """All eight credit source tables over ``sf_dir`` (lazy; cached per session and folder)."""
+    key = (str(spark.sparkContext.applicationId), sf_dir.rstrip("/"))
+    if key not in _CACHE:
+        raw = LazyTables({t: (lambda t=t: _read(spark, sf_dir, t)) for t in DRIVER_SCHEMAS})
+        _CACHE[key] = LazyTables({
+            name: (lambda spec=spec: build_view(spec, raw)) for name, spec in VIEWS.items()})
+    return _CACHE[key]
+
+
+def load_fixture_tables(spark: SparkSession, sf_dir: str, dest: str,
+                        num_files: int | None = None) -> LazyTables:
+    """Write every credit table once under ``dest`` (shared storage) and read them back.
+
+    The driver's files hold one row group each, so a scan of them is one task;
+    the loaded tables are split into ``num_files`` files (default: the
+    session's parallelism) as a warehouse table would be.
+    """
+    views = fixture_tables(spark, sf_dir)
+    n = num_files or spark.sparkContext.defaultParallelism
+    for name in VIEWS:
+        views[name].repartition(n).write.mode("overwrite").parquet(f"{dest.rstrip('/')}/{name}")
+    return LazyTables({name: (lambda name=name: spark.read.parquet(f"{dest.rstrip('/')}/{name}"))
+                       for name in VIEWS})

@@ -66,14 +66,17 @@ SCHEMAS: dict[str, T.StructType] = {
 def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Read one raw table from ``{root}/{name}`` (a file or a directory of files).
 
-    CSV is read with the explicit schema and a header row, never inferred.
+    CSV is read with the explicit schema and a header row, never inferred,
+    and values keep their leading/trailing white space (the audits look for it).
     Parquet is read with its own footer schema and then aligned to ours by
     name, so an extra column in the files is ignored rather than fatal.
     """
     path = f"{root.rstrip('/')}/{name}"
     schema = SCHEMAS[name]
     if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+        return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                .csv(path))
     df = spark.read.format(fmt).load(path)
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 

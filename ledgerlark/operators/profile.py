@@ -1,10 +1,10 @@
 """Generic data-audit operators: grain, completeness, sentinels, profiles, missingness.
 
 Each takes a DataFrame plus column/name parameters and returns a small
-DataFrame.  A statement over one table is one ``agg`` (one scan); the
-reference's multi-branch ``UNION ALL`` profiles become one pass whose single
-row is turned into rows with ``inline`` (numeric) or an ``unpivot`` before
-one ``groupBy`` (categorical).
+DataFrame.  A statement over one table is one aggregate (one scan); the
+reference's multi-branch ``UNION ALL`` profiles become one ``unpivot`` of the
+listed columns followed by one ``groupBy`` on the column name (numeric) or on
+(column name, value) (categorical).
 """
 
 from __future__ import annotations
@@ -104,36 +104,30 @@ PROFILE_PROBS = [("p01", 0.01), ("p25", 0.25), ("median", 0.50), ("p75", 0.75),
 def numeric_profile(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> DataFrame:
     """Per column: NULL/zero/negative counts, min, p01..p99, max, max/p99 ratio.
 
-    One aggregate over the table for all columns (each cast to double, as the
-    reference's ``UNION ALL`` coerces), then ``inline`` turns the wide row
-    into one row per column.  Sorted by the ratio, descending, NULLs last.
+    One scan for all columns: ``unpivot`` to (column_name, value) -- values
+    cast to double, as the reference's ``UNION ALL`` coerces -- then one
+    ``groupBy(column_name)``.  Every column's quantile sketches are merged
+    in their own final task, not all in one, which is what bounds the final
+    stage when thousands of map tasks each send a sketch.  Sorted by the
+    max/p99 ratio, descending, NULLs last.
     """
     probs = [p for _, p in PROFILE_PROBS]
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [
-            count_if(x.isNull()).alias(f"n{i}"),
-            count_if(x == 0).alias(f"z{i}"),
-            count_if(x < 0).alias(f"g{i}"),
-            F.min(x).alias(f"lo{i}"),
-            F.percentile_approx(x, probs, accuracy).alias(f"q{i}"),
-            F.max(x).alias(f"hi{i}"),
-        ]
-    wide = df.agg(*aggs)
-    rows = F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"n{i}").alias("null_count"),
-            F.col(f"z{i}").alias("zero_count"),
-            F.col(f"g{i}").alias("negative_count"),
-            F.col(f"lo{i}").alias("min_value"),
-            *[F.col(f"q{i}")[j].alias(name) for j, (name, _) in enumerate(PROFILE_PROBS)],
-            F.col(f"hi{i}").alias("max_value"),
-        )
-        for i, c in enumerate(cols)
-    ])
-    prof = wide.select(F.inline(rows))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], list(cols), "column_name", "v")
+    x = F.col("v")
+    prof = long.groupBy("column_name").agg(
+        count_if(x.isNull()).alias("null_count"),
+        count_if(x == 0).alias("zero_count"),
+        count_if(x < 0).alias("negative_count"),
+        F.min(x).alias("min_value"),
+        F.percentile_approx(x, probs, accuracy).alias("_q"),
+        F.max(x).alias("max_value"),
+    )
+    prof = prof.select(
+        "column_name", "null_count", "zero_count", "negative_count", "min_value",
+        *[F.col("_q")[j].alias(name) for j, (name, _) in enumerate(PROFILE_PROBS)],
+        "max_value",
+    )
     ratio = F.round(safe_div(F.col("max_value"), F.nullif(F.col("p99"), F.lit(0.0))), 1)
     return prof.withColumn("max_to_p99_ratio", ratio).orderBy(F.col("max_to_p99_ratio").desc_nulls_last())
 

@@ -130,6 +130,19 @@ def count_distinct_category(x: ColumnOrName) -> Column:
     return F.size(F.collect_set(_c(x))).cast("bigint")
 
 
+def exact_avg(x: ColumnOrName, scale: int = 9) -> Column:
+    """Mean of a fractional column that does not depend on summation order.
+
+    Each value is rounded to ``scale`` decimals and summed as DECIMAL (exact),
+    the sum is turned into a double through its decimal text (correctly
+    rounded) and divided by the count.  A double ``avg`` of ratios changes in
+    its last bits with partitioning and task order; this one does not.
+    """
+    x = _c(x)
+    total = F.sum(x.cast(f"decimal(38,{scale})")).cast("string").cast("double")
+    return F.try_divide(total, F.count(x))
+
+
 def money_sum(x: ColumnOrName, scale: int = 2) -> Column:
     """Order-independent sum of a money column (T18).
 

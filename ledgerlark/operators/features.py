@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..functions.compat import (
     band,
     count_if,
+    exact_avg,
     greatest_nullprop,
     money_sum,
     safe_div,
@@ -157,7 +158,7 @@ def credit_card_kpis_by_customer(card: DataFrame) -> DataFrame:
     deficit = F.when(F.col("AMT_PAYMENT_CURRENT") < F.col("AMT_INST_MIN_REGULARITY"), 1).otherwise(0)
     utilization = safe_div(greatest_nullprop("AMT_BALANCE", 0), "AMT_CREDIT_LIMIT_ACTUAL")
     return card.groupBy("SK_ID_CURR").agg(
-        F.avg(utilization).alias("avg_cc_limit_utilization"),
+        exact_avg(utilization).alias("avg_cc_limit_utilization"),
         F.max(utilization).alias("max_cc_limit_utilization"),
         safe_div(F.sum(deficit), F.count("AMT_INST_MIN_REGULARITY")).alias("cc_min_payment_deficit_ratio"),
         F.coalesce(F.max(F.when(F.col("MONTHS_BALANCE") >= -12, F.col("SK_DPD"))), F.lit(0))

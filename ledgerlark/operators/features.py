@@ -146,9 +146,9 @@ def int_credit_card_features(card: DataFrame) -> DataFrame:
         late_tol.alias("TOLERANS_SONRASI_GECIKMELI_AY_SAYISI"),
         F.round(safe_div(late_tol, n) * 100, 2).alias("TOLERANS_SONRASI_GECIKME_ORANI"),
         F.max("SK_DPD").alias("MAKS_GECIKME_GUNU"),
-        F.avg(bal).alias("ORTALAMA_BORC_BAKIYESI"),
+        exact_avg(bal).alias("ORTALAMA_BORC_BAKIYESI"),
         F.max(bal).alias("MAKS_BORC_BAKIYESI"),
-        F.round(F.avg(safe_div(bal, F.nullif(limit, F.lit(0)))) * 100, 2).alias("ORTALAMA_LIMIT_KULLANIM_ORANI"),
+        F.round(exact_avg(safe_div(bal, F.nullif(limit, F.lit(0)))) * 100, 2).alias("ORTALAMA_LIMIT_KULLANIM_ORANI"),
         F.round(safe_div(count_if((limit > 0) & (bal > limit)), count_if(limit > 0)) * 100, 2)
         .alias("LIMIT_ASIMLI_AY_ORANI"),
     )

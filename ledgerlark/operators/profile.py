@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.compat import count_if, not_title_case, pct, safe_div, trim_ws
+from ..functions.compat import count_if, exact_avg, not_title_case, pct, safe_div, trim_ws
 
 
 def _n() -> Column:
@@ -201,7 +201,7 @@ def missingness_by(df: DataFrame, group: Column, group_name: str, count_name: st
 
 def mean_by(df: DataFrame, group: str, cols: Mapping[str, str], count_name: str,
             digits: int = 2) -> DataFrame:
-    """Per group: row count and ``round(avg(c), digits)`` for each column."""
+    """Per group: row count and ``round(avg(c), digits)`` for each column (order-independent mean)."""
     aggs = [_n().alias(count_name)]
-    aggs += [F.round(F.avg(c), digits).alias(out) for out, c in cols.items()]
+    aggs += [F.round(exact_avg(c), digits).alias(out) for out, c in cols.items()]
     return df.groupBy(group).agg(*aggs).orderBy(group)

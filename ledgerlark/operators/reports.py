@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.compat import band, count_if, default_pct, pct, safe_div
+from ..functions.compat import band, count_if, default_pct, exact_avg, pct, safe_div
 from .ntile import distributed_ntile
 
 DEFAULT_ACCURACY = 100_000
@@ -54,7 +54,7 @@ def rpt_egitim_gelir_odeme(app: DataFrame, history: DataFrame,
         q.alias("_q"),
         default_pct().alias("temerrut_pct"),
         pct(count_if(F.col("total_late_months") > 0), n, 2).alias("gecmiste_gecikme_pct"),
-        F.round(F.avg("debt_to_credit_ratio"), 3).alias("ort_borc_kredi_orani"),
+        F.round(exact_avg("debt_to_credit_ratio"), 3).alias("ort_borc_kredi_orani"),
     )
     return out.select(
         "egitim", "musteri_sayisi",

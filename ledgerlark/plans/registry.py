@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.compat import distinct_joined
+from ..functions.compat import count_if, distinct_joined, exact_avg
 from ..operators import checks as ck
 from ..operators import integrity as ig
 from ..operators import profile as pf
@@ -54,7 +54,6 @@ def _business_rules(c: Catalog) -> DataFrame:
 
 def _negative_debt(c: Catalog) -> DataFrame:
     debt, lim = F.col("AMT_CREDIT_SUM_DEBT"), F.col("AMT_CREDIT_SUM_LIMIT")
-    from ..functions.compat import count_if
     return ru.cohort(c.src["bureau"], debt < 0, [
         F.count(F.lit(1)).alias("negative_debt_rows"),
         count_if(F.abs(debt) == lim).alias("debt_mirrors_limit_exactly"),
@@ -63,7 +62,7 @@ def _negative_debt(c: Catalog) -> DataFrame:
         distinct_joined("CREDIT_TYPE").alias("affected_credit_types"),
         distinct_joined("CREDIT_ACTIVE").alias("affected_statuses"),
         F.min(debt).alias("most_negative"),
-        F.round(F.avg(debt), 2).alias("average_negative"),
+        F.round(exact_avg(debt), 2).alias("average_negative"),
     ])
 
 
@@ -104,10 +103,6 @@ def _balance_completeness(c: Catalog) -> DataFrame:
     return pf.counters(c.src["bureau_balance"], preds, total="total_rows")
 
 
-def _pct(pred, digits):
-    return (pred, digits)
-
-
 def _checks_unique(c: Catalog) -> DataFrame:
     s = c.src
     return ck.union_all([

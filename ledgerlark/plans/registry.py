@@ -17,7 +17,7 @@ from ..operators import integrity as ig
 from ..operators import profile as pf
 from ..operators import reports as rp
 from ..operators import rules as ru
-from ..oracle.sql import CARD_TARGET, CATEGORY_COLS, INST_TARGET, NULL_PCT_COLS, PROFILE_COLS
+from .audit_spec import CARD_TARGET, CATEGORY_COLS, INST_TARGET, NULL_PCT_COLS, PROFILE_COLS
 from .catalog import Catalog
 
 QueryFn = Callable[[Catalog], DataFrame]

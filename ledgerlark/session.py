@@ -30,12 +30,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only if unset."""
+    """Return the session's checkpoint folder, creating a scratch one only if unset.
+
+    A scratch folder on this machine is only acceptable in local mode; on a
+    cluster the shared folder must be configured (``spark.checkpoint.dir``).
+    """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
         conf = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf

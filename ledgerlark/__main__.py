@@ -33,9 +33,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--raw", required=True)
     ap.add_argument("--fmt", default="parquet")
     ap.add_argument("--out", default=None)
+    ap.add_argument("--auto-size", action="store_true",
+                    help="size shuffle partitions and scan splits from the raw input volume")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.getOrCreate()
+    if args.auto_size:
+        from .session import apply_scale_settings
+        for k, v in apply_scale_settings(spark, [args.raw]).items():
+            print(f"# {k}={v}")
     cat = Catalog(load_tables(spark, args.raw, args.fmt), materialize=args.command != "check", spark=spark)
 
     if args.command == "build":

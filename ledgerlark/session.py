@@ -45,3 +45,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf = tempfile.mkdtemp(prefix="ledgerlark-ckpt-")
     spark.sparkContext.setCheckpointDir(conf)
     return spark.sparkContext.getCheckpointDir() or conf
+
+
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def scale_settings(total_input_bytes: int, partition_bytes: int = PARTITION_BYTES,
+                   max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle and scan sizes for an input of ``total_input_bytes``.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (so a partition fits an executor's memory without spilling), and AQE
+    coalesces the small ones at run time toward the same advisory size.
+    """
+    n = max(200, min(max_partitions, -(-total_input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Size the session for the raw tables under ``paths``; returns what was set."""
+    settings = scale_settings(input_bytes(spark, paths))
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings

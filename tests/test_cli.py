@@ -23,3 +23,19 @@ def test_cli_check_build_query(spark, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "build" / "mart_customer_credit_history")).count() > 0
     assert main(["query", "kpi_01_default_rate", "--raw", str(raw), "--out", str(tmp_path / "q")]) == 0
     assert spark.read.parquet(str(tmp_path / "q" / "kpi_01_default_rate")).count() == 1
+
+
+def test_scale_settings():
+    from ledgerlark.session import scale_settings
+    small = scale_settings(10 * 1024 * 1024)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    huge = scale_settings(100 * 1024 ** 4)  # 100 TB
+    assert huge["spark.sql.shuffle.partitions"] == "100000"  # 409,600 x 256 MB, capped
+    assert scale_settings(1024 ** 4)["spark.sql.shuffle.partitions"] == "4096"  # 1 TB / 256 MB
+    assert huge["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_input_bytes(spark, tmp_path):
+    from ledgerlark.session import input_bytes
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    assert input_bytes(spark, [str(tmp_path / "t"), str(tmp_path / "missing")]) > 0

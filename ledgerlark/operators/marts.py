@@ -42,7 +42,7 @@ def mart_customer_credit_history(enriched: DataFrame) -> DataFrame:
     )
 
 
-# (output name, source column) of the two KPI sets attached to each application.
+# Fixed values: (output name, source column) of the two KPI sets attached to each application.
 INSTALMENT_KPI_COLUMNS = [
     ("TOPLAM_TAKSIT_SAYISI", "TOPLAM_TAKSIT_SAYISI"),
     ("ESKI_KREDI_SAYISI", "ESKI_KREDI_SAYISI"),
@@ -88,7 +88,7 @@ def mart_target_kpi_analysis(app_features: DataFrame, inst_customer: DataFrame,
     )
 
 
-# (output name, source column, value when the customer has no history) -- Q9.
+# Fixed values: (output name, source column, value when the customer has no history) -- Q9.
 ML_FEATURES = {
     "inst": [
         ("inst_avg_payment_delay_days", "avg_payment_delay_days", 0),

@@ -34,6 +34,7 @@ STATUS_VALUES = ["0", "1", "2", "3", "4", "5", "C", "X"]
 
 
 def _business_rules(c: Catalog) -> DataFrame:
+    # The rule names and thresholds of the business-rule audit (18250 days = 50 years).
     col = F.col
     return ru.rule_counts(c.src["bureau"], {
         "r1_debt_exceeds_credit": col("AMT_CREDIT_SUM_DEBT") > col("AMT_CREDIT_SUM"),

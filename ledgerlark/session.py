@@ -11,6 +11,10 @@ from pyspark.sql import SparkSession
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlark") -> SparkSession:
     """A local session with AQE on, UI off, UTC, and a scratch checkpoint folder.
 
+    AQE coalesces shuffle partitions toward the advisory size rather than
+    keeping many small ones for parallelism (``parallelismFirst=false``), as
+    recommended for shared clusters.
+
     The checkpoint folder is set only when the session has none, as a
     cluster configures ``spark.checkpoint.dir`` to shared storage itself.
     """
@@ -18,6 +22,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst",
+                 os.environ.get("LEDGERLARK_PARALLELISM_FIRST", "false"))
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
@@ -76,6 +82,7 @@ def scale_settings(total_input_bytes: int, partition_bytes: int = PARTITION_BYTE
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),

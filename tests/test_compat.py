@@ -75,3 +75,40 @@ def test_money_sum_is_order_independent(spark):  # T18
 def test_category_distinct_count(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, None)], "g int, x string")
     assert df.groupBy("g").agg(C.count_distinct_category("x")).first()[1] == 2
+
+
+def test_safe_cast_status(spark):  # T4
+    df = spark.createDataFrame([("3",), ("C",), ("X",), ("0",), (None,)], "s string")
+    assert [r[0] for r in df.select(F.col("s").try_cast("bigint")).collect()] == [3, None, None, 0, None]
+
+
+def test_full_row_and_composite_distinct(spark):  # T13, T14
+    from ledgerlark.operators.profile import full_row_duplicates, grain
+    rows = [(1, None, "a"), (1, None, "a"), (2, 5, None), (2, 5, None), (3, 6, "b")]
+    df = spark.createDataFrame(rows, "k long, m long, s string")
+    r = full_row_duplicates(df).first()
+    assert (r.total_rows, r.distinct_full_rows, r.identical_duplicate_rows) == (5, 3, 2)
+    g = grain(df, "t", ["k", "m"], {"distinct_keys": "pairs", "duplicates": "dups"}).first()
+    # a NULL part drops the pair, as count(distinct concat(k, '|', m)) does
+    assert (g.pairs, g.dups) == (2, 3)
+
+
+def test_boolean_cast_accepts_bool_or_yn(spark):  # T15
+    df = spark.createDataFrame([("Y",), ("N",), (None,)], "f string")
+    assert [r[0] for r in df.select(F.col("f").cast("boolean")).collect()] == [True, False, None]
+
+
+def test_numeric_profile_orders_nulls_last(spark):  # T20
+    from ledgerlark.operators.profile import numeric_profile
+    df = spark.createDataFrame([(1.0, 0.0, 5.0), (2.0, 0.0, 50.0), (100.0, 0.0, None)], "a double, z double, b double")
+    names = [r.column_name for r in numeric_profile(df, ["a", "z", "b"]).collect()]
+    assert names[-1] == "z"  # p99 = 0 gives a NULL ratio, sorted last
+
+
+def test_top_k_breaks_ties_deterministically(spark):
+    from ledgerlark.operators.rules import top_violations
+    df = spark.createDataFrame([(i, 10.0 if i < 30 else float(i)) for i in range(40)], "id long, v double")
+    got = [r.id for r in top_violations(df, F.col("v") > 0, F.col("v").desc(), ["id"], n=5, tie="id").collect()]
+    assert got == [39, 38, 37, 36, 35]
+    ties = [r.id for r in top_violations(df, F.col("v") < 11, F.col("v").desc(), ["id"], n=3, tie="id").collect()]
+    assert ties == [0, 1, 2]

@@ -31,7 +31,11 @@ TABLE_MODELS = {
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; it must be configured, never guessed."""
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 -- Spark Connect: only the configuration is visible
+        d = None
+    d = d or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set: materialised models need a shared folder")
     return d.rstrip("/")

@@ -99,9 +99,16 @@ class LazyTables(Mapping[str, DataFrame]):
 _CACHE: dict[tuple[str, str], LazyTables] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return str(spark.sparkContext.applicationId)
+    except Exception:  # noqa: BLE001 -- a Spark Connect session has no SparkContext
+        return f"session-{id(spark)}"
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """All eight credit source tables over ``sf_dir`` (lazy; cached per session and folder)."""
-    key = (str(spark.sparkContext.applicationId), sf_dir.rstrip("/"))
+    key = (_session_key(spark), sf_dir.rstrip("/"))
     if key not in _CACHE:
         raw = LazyTables({t: (lambda t=t: _read(spark, sf_dir, t)) for t in DRIVER_SCHEMAS})
         _CACHE[key] = LazyTables({
@@ -115,10 +122,10 @@ def load_fixture_tables(spark: SparkSession, sf_dir: str, dest: str,
 
     The driver's files hold one row group each, so a scan of them is one task;
     the loaded tables are split into ``num_files`` files (default: the
-    session's parallelism) as a warehouse table would be.
+    session's shuffle partition count) as a warehouse table would be.
     """
     views = fixture_tables(spark, sf_dir)
-    n = num_files or spark.sparkContext.defaultParallelism
+    n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in VIEWS:
         views[name].repartition(n).write.mode("overwrite").parquet(f"{dest.rstrip('/')}/{name}")
     return LazyTables({name: (lambda name=name: spark.read.parquet(f"{dest.rstrip('/')}/{name}"))

@@ -48,7 +48,7 @@ class _Bound:
 
 
 def _le(b: _Bound, x: Column, tie: Column) -> Column:
-    """Row key <= bound, NULLs of ``x`` first."""
+    """Row key <= bound, NULLs of ``x`` first (used by tests and as the reference definition)."""
     if b.null_group:
         if b.tie is None:
             return x.isNull()
@@ -58,16 +58,34 @@ def _le(b: _Bound, x: Column, tie: Column) -> Column:
     return x.isNull() | (x < F.lit(b.x)) | ((x == F.lit(b.x)) & (tie <= F.lit(b.tie)))
 
 
-def _segment_expr(bounds: list[_Bound], x: Column, tie: Column) -> Column:
-    """Index of the first bound the row is <= to (the last segment is open)."""
+def _tree(conds: list[Column], offset: int) -> Column:
+    """Binary search: index of the first true condition (conditions are monotone), else len."""
 
     def build(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
         if lo == hi:
-            return F.lit(lo)
+            return F.lit(offset + lo)
         mid = (lo + hi) // 2
-        return F.when(_le(bounds[mid], x, tie), build(lo, mid)).otherwise(build(mid + 1, hi))
+        return F.when(conds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
+
+    return build(0, len(conds))
+
 
-    return build(0, len(bounds))
+def _segment_expr(bounds: list[_Bound], x: Column, tie: Column) -> Column:
+    """Index of the first bound the row is <= to (the last segment is open).
+
+    NULL rows are split off once at the top, so the comparisons below carry
+    no NULL tests; the expression stays small enough for the JIT to compile
+    (about two comparisons per bound, ``log2`` of them evaluated per row).
+    """
+    nulls = [b for b in bounds if b.null_group]
+    values = [b for b in bounds if not b.null_group]
+    # every NULL row is <= the last NULL bound ("all NULLs"), so the NULL tree never runs past it
+    null_tree = _tree([tie <= F.lit(b.tie) for b in nulls[:-1]], 0)
+    value_conds = [
+        (x <= F.lit(b.x)) if b.tie is None else ((x < F.lit(b.x)) | ((x == F.lit(b.x)) & (tie <= F.lit(b.tie))))
+        for b in values
+    ]
+    return F.when(x.isNull(), null_tree).otherwise(_tree(value_conds, len(nulls)))
 
 
 def _dedupe(values: list) -> list:
@@ -78,7 +96,8 @@ def _dedupe(values: list) -> list:
     return out
 
 
-def _plan_bounds(df: DataFrame, order_col: str, tie_col: str, k: int, accuracy: int) -> list[_Bound]:
+def _plan_bounds(df: DataFrame, order_col: str, tie_col: str, k: int, accuracy: int,
+                 rows_per_segment: int | None = None) -> list[_Bound]:
     probs = [i / k for i in range(1, k)]
     stats = df.agg(
         F.count(F.lit(1)).alias("n"),
@@ -88,6 +107,13 @@ def _plan_bounds(df: DataFrame, order_col: str, tie_col: str, k: int, accuracy:
     n, nn, cuts = stats["n"], stats["nn"], list(stats["q"] or [])
     if n == 0:
         return []
+    if rows_per_segment:
+        # Fewer, larger segments for small inputs: keep every step-th cut (still a monotone split).
+        want = max(2, min(k, -(-n // rows_per_segment)))
+        step = max(1, round(k / want))
+        if step > 1:
+            cuts = cuts[step - 1::step]
+            k = len(cuts) + 1
     per_seg = max(1, math.ceil(n / k))
     # Hot groups: NULLs beyond one segment, and values that fill several cut slots.
     hot: dict[object, int] = {}
@@ -129,17 +155,23 @@ def _plan_bounds(df: DataFrame, order_col: str, tie_col: str, k: int, accuracy:
 
 
 def distributed_ntile(df: DataFrame, order_col: str, tie_col: str, n: int, out_col: str,
-                      segments: int | None = None, accuracy: int = 10_000) -> DataFrame:
+                      segments: int | None = None, accuracy: int | None = None,
+                      rows_per_segment: int | None = 1_000_000) -> DataFrame:
     """Add ``out_col`` = ``ntile(n) over (order by order_col nulls first, tie_col)``.
 
-    ``segments`` (default: the session's shuffle partition count) sets how
-    many ranges are ranked in parallel.
+    ``segments`` (default: the session's shuffle partition count) caps how
+    many ranges are ranked in parallel; ``rows_per_segment`` sizes the count
+    from the input (small inputs get few segments, and so a small segment
+    expression).  ``tie_col`` must be non-NULL and unique.  ``accuracy`` of the cut-point sketches (default ``32 * segments``)
+    only bounds how uneven the segments can be (about ``1/accuracy`` of the
+    rows each); it never changes a row's bucket.
     """
     spark = df.sparkSession
     k = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = max(2, k)
+    accuracy = accuracy or max(1_000, 32 * k)
     x, tie = F.col(order_col), F.col(tie_col)
-    bounds = _plan_bounds(df, order_col, tie_col, k, accuracy)
+    bounds = _plan_bounds(df, order_col, tie_col, k, accuracy, rows_per_segment)
     seg = _segment_expr(bounds, x, tie) if bounds else F.lit(0)
     tagged = df.withColumn("_seg", seg)
 

@@ -25,6 +25,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.sql.adaptive.coalescePartitions.parallelismFirst",
                  os.environ.get("LEDGERLARK_PARALLELISM_FIRST", "false"))
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # HotSpot does not JIT-compile methods over 8000 bytes: fall back rather than interpret
+         .config("spark.sql.codegen.hugeMethodLimit", "8000")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", os.environ.get("LEDGERLARK_DRIVER_MEMORY", "8g"))
@@ -86,6 +88,7 @@ def scale_settings(total_input_bytes: int, partition_bytes: int = PARTITION_BYTE
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
 
 

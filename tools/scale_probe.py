@@ -1,6 +1,7 @@
 """Skew probe: the bureau lineage on generated tables where one key holds a third of the rows.
 
     python tools/scale_probe.py [monthly_rows] [loans]
+    python tools/scale_probe.py ntile [rows]
 
 Generates (with ``spark.range``, not registered as a query) a monthly table
 where one loan holds a third of the rows, and a loan table where one customer
@@ -30,16 +31,14 @@ from ledgerlark.operators import marts as mt  # noqa: E402
 from ledgerlark.operators import staging as st  # noqa: E402
 
 
-def main() -> None:
-    rows = int(sys.argv[1]) if len(sys.argv) > 1 else 30_000_000
-    loans = int(sys.argv[2]) if len(sys.argv) > 2 else 3_000_000
-    logdir = tempfile.mkdtemp(prefix="ledgerlark-eventlog-", dir="/tmp")
+def _session(logdir: str) -> SparkSession:
     spark = (SparkSession.builder.master("local[8]").appName("scale-probe")
              .config("spark.sql.shuffle.partitions", "64")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
              # small advisory size so the reduce stages keep many tasks and a hot task would show
              .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(4 * 1024 * 1024))
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.ui.enabled", "false")
              .config("spark.driver.memory", "8g")
              .config("spark.eventLog.enabled", "true")
@@ -47,6 +46,55 @@ def main() -> None:
              .config("spark.eventLog.compress", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def _stage_times(logdir: str) -> list[dict]:
+    stages: dict[tuple, list[float]] = {}
+    for path in [p for p in glob.glob(f"{logdir}/**/*", recursive=True) if os.path.isfile(p)]:
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                if ev.get("Event") == "SparkListenerTaskEnd" and ev.get("Task Info"):
+                    ti = ev["Task Info"]
+                    key = (ev["Stage ID"], ev["Stage Attempt ID"])
+                    stages.setdefault(key, []).append((ti["Finish Time"] - ti["Launch Time"]) / 1000)
+    return [
+        {"stage": k[0], "tasks": len(v), "max_task_s": round(max(v), 2),
+         "median_task_s": round(statistics.median(v), 2),
+         "max_over_median": round(max(v) / max(statistics.median(v), 1e-3), 2)}
+        for k, v in sorted(stages.items()) if len(v) >= 2
+    ]
+
+
+def ntile_probe(rows: int) -> None:
+    """Deciles over a column where one value and the NULLs each hold a third of the rows."""
+    from ledgerlark.operators.ntile import distributed_ntile
+
+    logdir = tempfile.mkdtemp(prefix="ledgerlark-eventlog-", dir="/tmp")
+    spark = _session(logdir)
+    df = spark.range(rows, numPartitions=32).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).when(F.col("id") % 3 == 1, F.lit(None))
+        .otherwise((F.col("id") * 7919 % 100_003).cast("double")).alias("x"))
+    t0 = time.perf_counter()
+    counts = {r["b"]: r["count"] for r in distributed_ntile(df, "x", "id", 10, "b", segments=64)
+              .groupBy("b").count().collect()}
+    elapsed = time.perf_counter() - t0
+    spark.stop()
+    print(json.dumps({"rows": rows, "hot_value_rows": rows // 3, "null_rows": rows // 3,
+                      "seconds": round(elapsed, 1), "bucket_sizes": [counts[b] for b in sorted(counts)],
+                      "stages": _stage_times(logdir), "event_log": logdir}))
+
+
+def main() -> None:
+    if len(sys.argv) > 1 and sys.argv[1] == "ntile":
+        ntile_probe(int(sys.argv[2]) if len(sys.argv) > 2 else 30_000_000)
+        return
+    rows = int(sys.argv[1]) if len(sys.argv) > 1 else 30_000_000
+    loans = int(sys.argv[2]) if len(sys.argv) > 2 else 3_000_000
+    logdir = tempfile.mkdtemp(prefix="ledgerlark-eventlog-", dir="/tmp")
+    spark = _session(logdir)
     status = F.element_at(F.array(*[F.lit(s) for s in ["C", "C", "0", "X", "1", "2", "3", "4", "5"]]),
                           (F.col("id") % 9 + 1).cast("int"))
     balance = spark.range(rows, numPartitions=32).select(
@@ -74,23 +122,7 @@ def main() -> None:
     elapsed = time.perf_counter() - t0
     spark.stop()
 
-    stages: dict[tuple, list[float]] = {}
-    for path in [p for p in glob.glob(f"{logdir}/**/*", recursive=True) if os.path.isfile(p)]:
-        with open(path) as fh:
-            for line in fh:
-                ev = json.loads(line)
-                if ev.get("Event") == "SparkListenerTaskEnd" and ev.get("Task Info"):
-                    ti = ev["Task Info"]
-                    key = (ev["Stage ID"], ev["Stage Attempt ID"])
-                    stages.setdefault(key, []).append((ti["Finish Time"] - ti["Launch Time"]) / 1000)
-    # An unsplit hot key (a third of the rows) would make one task of its stage several times
-    # slower than the others: compare each stage's slowest task with its median.
-    per_stage = [
-        {"stage": k[0], "tasks": len(v), "max_task_s": round(max(v), 2),
-         "median_task_s": round(statistics.median(v), 2),
-         "max_over_median": round(max(v) / max(statistics.median(v), 1e-3), 2)}
-        for k, v in sorted(stages.items()) if len(v) >= 2
-    ]
+    per_stage = _stage_times(logdir)
     print(json.dumps({
         "monthly_rows": rows, "loans": loans, "hot_loan_rows": rows // 3 + 1, "hot_customer_loans": hot[0],
         "customers": n, "seconds": round(elapsed, 1),

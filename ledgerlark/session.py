@@ -26,7 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
                  os.environ.get("LEDGERLARK_PARALLELISM_FIRST", "false"))
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          # HotSpot does not JIT-compile methods over 8000 bytes: fall back rather than interpret
-         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+         .config("spark.sql.codegen.hugeMethodLimit", os.environ.get("LEDGERLARK_HUGE_METHOD_LIMIT", "8000"))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.driver.memory", os.environ.get("LEDGERLARK_DRIVER_MEMORY", "8g"))

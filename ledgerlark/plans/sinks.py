@@ -24,6 +24,11 @@ BUILD_MODELS: dict[str, Sequence[str]] = {
     "mart_customer_credit_history": (),
     "mart_target_kpi_analysis": (),
     "fct_ml_payment_behavior_features": ("customer_id",),
+    "rpt_egitim_gelir_odeme": (),
+    "rpt_gelir_dilimleri": (),
+    "rpt_kredi_gelir_orani": (),
+    "rpt_yas_egitim_capraz": (),
+    "rpt_yas_gelir_odeme": (),
 }
 
 
@@ -53,6 +58,7 @@ def build(catalog: Catalog, dest: str | None = None) -> dict[str, str]:
     out = {}
     for name, keys in BUILD_MODELS.items():
         path = f"{root}/{name}"
-        write_table(getattr(catalog, name), path, cluster_by=keys)
+        model = getattr(catalog, name)
+        write_table(model() if callable(model) else model, path, cluster_by=keys)
         out[name] = path
     return out

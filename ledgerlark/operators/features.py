@@ -243,11 +243,11 @@ def pos_cash_kpis_by_customer(pos_raw: DataFrame) -> DataFrame:
     """
     from .staging import stg_pos_cash_balance
 
-    staged = stg_pos_cash_balance(pos_raw, keep=("SK_ID_CURR",))
-    return _pos_cash_aggregate(staged, "SK_ID_CURR")
+    staged = stg_pos_cash_balance(pos_raw, keep=("SK_ID_CURR", "SK_ID_PREV"))
+    return _pos_cash_aggregate(staged, "SK_ID_CURR", "SK_ID_PREV")
 
 
-def _pos_cash_aggregate(staged: DataFrame, key: str) -> DataFrame:
+def _pos_cash_aggregate(staged: DataFrame, key: str, loan: str = "previous_application_id") -> DataFrame:
     n = F.count(F.lit(1))
     dpd = F.col("days_past_due")
     last12 = F.col("months_balance") >= -12
@@ -261,7 +261,7 @@ def _pos_cash_aggregate(staged: DataFrame, key: str) -> DataFrame:
         count_if(last12 & F.col("is_past_due")).alias("pos_dpd_months_count_last_12m"),
         safe_div(count_if(F.col("is_completed")), n).alias("pos_completed_contracts_ratio"),
         F.avg("remaining_instalment_count").alias("avg_pos_remaining_instalments"),
-        F.count_distinct("previous_application_id").alias("total_pos_loan_count"),
+        F.count_distinct(loan).alias("total_pos_loan_count"),
         n.alias("total_pos_months_count"),
     )
 
@@ -269,3 +269,8 @@ def _pos_cash_aggregate(staged: DataFrame, key: str) -> DataFrame:
 def int_pos_cash_kpis(pos_stg: DataFrame) -> DataFrame:
     """Over ``stg_pos_cash_balance`` output, exactly as the reference (string key)."""
     return _pos_cash_aggregate(pos_stg, "customer_id")
+
+
+def int_pos_cash_kpis_from_raw(pos_raw: DataFrame) -> DataFrame:
+    """The same KPI set grouped by the numeric ids (injective casts), ``customer_id`` cast once per customer."""
+    return _as_customer_id(pos_cash_kpis_by_customer(pos_raw))

@@ -151,7 +151,7 @@ class Catalog:
 
     @cached_property
     def int_pos_cash_kpis(self) -> DataFrame:
-        return ft.int_pos_cash_kpis(self.stg_pos_cash_balance)
+        return ft.int_pos_cash_kpis_from_raw(self.src["POS_CASH_balance"])
 
     # ---------------------------------------------------------------- marts
     @cached_property

@@ -74,3 +74,11 @@ def test_materialised_catalog_matches_lazy(spark, cat, tmp_path):
     a = sorted(tuple(r) for r in cat.mart_customer_credit_history.collect())
     b = sorted(tuple(r) for r in mat.mart_customer_credit_history.collect())
     assert a == b
+
+
+def test_numeric_key_paths_equal_string_key_paths(cat):
+    """Grouping by the numeric id and casting once equals grouping by the string id (injective cast)."""
+    from ledgerlark.operators import features as ft
+    a = sorted(tuple(r) for r in ft.int_pos_cash_kpis(cat.stg_pos_cash_balance).collect())
+    b = sorted(tuple(r) for r in ft.int_pos_cash_kpis_from_raw(cat.src["POS_CASH_balance"]).collect())
+    assert a == b

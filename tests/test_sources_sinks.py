@@ -67,3 +67,16 @@ def test_streaming_staging_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "staged"))
     assert _rows(got) == _rows(st.stg_pos_cash_balance(raw))
+
+
+def test_streaming_staging_from_csv_keeps_padding(spark, tmp_path):
+    cat = entry.catalog(spark, SF_SMALL)
+    raw = cat.src["bureau"]
+    (raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(str(tmp_path / "landing" / "drop1")))
+    q = stage_stream(spark, "bureau", str(tmp_path / "landing" / "*"), str(tmp_path / "staged"),
+                     str(tmp_path / "ckpt"), fmt="csv")
+    q.awaitTermination(120)
+    got = spark.read.parquet(str(tmp_path / "staged"))
+    assert _rows(got) == _rows(st.stg_bureau(raw))
+    assert got.where(F.col("CREDIT_TYPE") == " credit Card ").count() > 0

@@ -19,33 +19,18 @@ from pyspark.sql import types as T
 
 from .fixture_views import VIEWS, ViewSpec
 
-_L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
-
-# Schemas of the driver tables we read (TESTDATA.md), so no footer is read for inference.
-DRIVER_SCHEMAS: dict[str, T.StructType] = {
-    "customer": T.StructType([T.StructField(n, t) for n, t in [
-        ("c_custkey", _L), ("c_name", _S), ("c_nationkey", _I), ("c_acctbal", _D), ("c_mktsegment", _S)]]),
-    "supplier": T.StructType([T.StructField(n, t) for n, t in [
-        ("s_suppkey", _L), ("s_name", _S), ("s_nationkey", _I), ("s_acctbal", _D)]]),
-    "orders": T.StructType([T.StructField(n, t) for n, t in [
-        ("o_orderkey", _L), ("o_custkey", _L), ("o_orderstatus", _S), ("o_totalprice", _D),
-        ("o_orderdate", T.TimestampNTZType()), ("o_orderpriority", _S)]]),
-    "lineitem": T.StructType([T.StructField(n, t) for n, t in [
-        ("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_linenumber", _I),
-        ("l_quantity", _D), ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D),
-        ("l_returnflag", _S), ("l_linestatus", _S), ("l_shipdate", T.TimestampNTZType())]]),
-    "events": T.StructType([T.StructField(n, t) for n, t in [
-        ("event_id", _L), ("ts", T.TimestampNTZType()), ("user_id", _L), ("event_type", _S),
-        ("value", _D), ("props", _S)]]),
-}
+# Driver tables read by the fixture views (TESTDATA.md).
+DRIVER_TABLES = ("customer", "supplier", "orders", "lineitem", "events")
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(path)
-    except Exception:  # noqa: BLE001 -- a differently typed file: fall back to its own schema
-        return spark.read.parquet(path)
+    """One driver table with its own footer schema.
+
+    One footer read per table and session (the views are cached); the view
+    expressions and ``_with_order_day`` accept either integer width and
+    either timestamp flavour, so a differently typed file still works.
+    """
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _with_order_day(orders: DataFrame) -> DataFrame:
@@ -110,7 +95,7 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """All eight credit source tables over ``sf_dir`` (lazy; cached per session and folder)."""
     key = (_session_key(spark), sf_dir.rstrip("/"))
     if key not in _CACHE:
-        raw = LazyTables({t: (lambda t=t: _read(spark, sf_dir, t)) for t in DRIVER_SCHEMAS})
+        raw = LazyTables({t: (lambda t=t: _read(spark, sf_dir, t)) for t in DRIVER_TABLES})
         _CACHE[key] = LazyTables({
             name: (lambda spec=spec: build_view(spec, raw)) for name, spec in VIEWS.items()})
     return _CACHE[key]

@@ -1 +1 @@
-
+"""Incremental staging of newly landed raw files (Structured Streaming)."""

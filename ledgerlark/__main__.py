@@ -27,12 +27,13 @@ CHECK_KEYS = ["check_unique", "check_not_null", "check_accepted_values", "check_
 
 
 def main(argv: list[str] | None = None) -> int:
-    ap = argparse.ArgumentParser(prog="ledgerlark")
-    ap.add_argument("command", choices=["build", "check", "query"])
-    ap.add_argument("keys", nargs="*")
-    ap.add_argument("--raw", required=True)
-    ap.add_argument("--fmt", default="parquet")
-    ap.add_argument("--out", default=None)
+    ap = argparse.ArgumentParser(prog="ledgerlark", description="Credit-history models, audits and checks on Spark.")
+    ap.add_argument("command", choices=["build", "check", "query"],
+                    help="build: write the table models; check: run the data checks; query: run query keys")
+    ap.add_argument("keys", nargs="*", help="query keys (for 'query'), e.g. mart_customer_credit_history")
+    ap.add_argument("--raw", required=True, help="folder holding one sub-folder or file per raw table")
+    ap.add_argument("--fmt", default="parquet", help="raw table format: parquet (default) or csv")
+    ap.add_argument("--out", default=None, help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--auto-size", action="store_true",
                     help="size shuffle partitions and scan splits from the raw input volume")
     args = ap.parse_args(argv)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +43,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@lru_cache(maxsize=4)
+def _shipped(context: SparkContext) -> None:
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="ledgerlark-code-")) / "ledgerlark-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """Give the executors this package's code, once per application; returns ``df``."""
+    _shipped(df.sparkSession.sparkContext)
+    return df
+
+
 def lower_ascii(raw: bytes) -> bytes:
     """Lower-case A-Z only."""
     return raw.translate(_LOWER)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import binary_column, column, lower_ascii, slices, stored
+from ledgerlark.llm.common import binary_column, column, lower_ascii, ship, slices, stored
 
 SEQUENCE = 2048
 #: Pieces in a shard, about; each shard ends with a few part-filled sequences.
@@ -117,7 +117,7 @@ def tokenized(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_id: i
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(cut, PIECES)
+    return ship(docs).select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(cut, PIECES)
 
 
 def place(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.ndarray]:
@@ -156,7 +156,7 @@ def place(lengths: np.ndarray, size: int = SEQUENCE) -> tuple[np.ndarray, np.nda
 
 def pack(pieces: DataFrame, length: int = SEQUENCE, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to ``pieces`` (columns of :func:`tokenized`)."""
-    pieces = stored(pieces, "pieces")
+    pieces = stored(ship(pieces), "pieces")
     short = pieces.where(F.col("length") < length)
     shards = max(1, -(-short.count() // shard_pieces))
 

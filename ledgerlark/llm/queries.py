@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlark.llm import packing, quality_rules
+from ledgerlark.llm import line_dedup, near_dedup, packing, quality_rules
 from ledgerlark.llm.common import table
 
 #: A parameter: any tokenizer file of this kind will do.
@@ -17,9 +18,26 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op9_best_fit_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op3_quality_rules,
+        op5_line_dedup,
+        op7_minhash_near_dedup,
+        op9_best_fit_packing,
+    )
+}
 SQL: dict[str, str] = {}

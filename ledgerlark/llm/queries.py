@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import line_dedup, near_dedup, packing, quality_rules
+from ledgerlark.llm import decontamination, line_dedup, near_dedup, packing, quality_rules
 from ledgerlark.llm.common import table
 
 #: A parameter: any tokenizer file of this kind will do.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per contaminated document and item; clean documents have none."""
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -34,6 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_benchmark_decontamination,
         op3_quality_rules,
         op5_line_dedup,
         op7_minhash_near_dedup,

@@ -155,3 +155,32 @@ def with_heavy_split(facts: DataFrame, dim: DataFrame, key: str, weight: str, to
     hot = facts.join(F.broadcast(heavy), key)
     rest = facts.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
     return hot.unionByName(rest)
+
+
+#: Ids that are broadcast at most (8 bytes each, some 100 MB once hashed); beyond it the join shuffles.
+BROADCAST_IDS = 4_000_000
+
+
+def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``docs`` semi- or anti-joined (``how``) with a written table of distinct ids ``_id``, by doc_id.
+
+    Few ids are broadcast, so that the texts stay where they are.
+    """
+    small = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if small else ids, docs["doc_id"].cast("long") == ids["_id"], how)
+
+
+def paired_texts(pairs: DataFrame, texts: DataFrame, load: int = 2000) -> DataFrame:
+    """``a, b, text_a, text_b`` for the pairs ``a, b`` of doc_ids.
+
+    A ``b`` with many pairs is dealt to several tasks, one for every ``load`` of its pairs.
+    """
+    uses = stored(pairs.groupBy("b").agg(F.count("*").alias("uses")), "uses")
+    total = uses.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
+    parts = uses.withColumn("parts", F.ceil(F.col("uses") / load).cast("int"))
+    salted = with_heavy_split(pairs, parts, "b", "uses", total)
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")).drop("parts")
+    left = salted.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    right = parts.join(texts.withColumnRenamed("doc_id", "b"), "b")
+    right = right.select("b", F.explode(F.expr("sequence(0, parts - 1)")).alias("salt"), F.col("text").alias("text_b"))
+    return left.join(right, ["b", "salt"]).select("a", "b", "text_a", "text_b")

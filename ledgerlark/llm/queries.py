@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import decontamination, line_dedup, near_dedup, packing, quality_rules
+from ledgerlark.llm import decontamination, line_dedup, near_dedup, packing, quality_rules, substring_dedup
 from ledgerlark.llm.common import table
 
 #: A parameter: any tokenizer file of this kind will do.
@@ -37,6 +37,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -45,6 +50,7 @@ QUERIES = {
         op5_line_dedup,
         op7_minhash_near_dedup,
         op9_best_fit_packing,
+        op10_substring_dedup,
     )
 }
 SQL: dict[str, str] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import decontamination, line_dedup, near_dedup, packing, quality_rules, substring_dedup
+from ledgerlark.llm import decontamination, line_dedup, near_dedup, packing, pii, quality_rules, substring_dedup
 from ledgerlark.llm.common import table
 
 #: A parameter: any tokenizer file of this kind will do.
@@ -33,6 +33,13 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("plain", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("plain").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -49,6 +56,7 @@ QUERIES = {
         op3_quality_rules,
         op5_line_dedup,
         op7_minhash_near_dedup,
+        op8_pii,
         op9_best_fit_packing,
         op10_substring_dedup,
     )

@@ -12,9 +12,13 @@ probability below ``MISS``.
 Equal sets are one class, represented by its smallest doc_id. Within a bucket
 of a band the classes are compared with hubs, first with the smallest class;
 a link is confirmed on the full sets. Classes already connected need no further
-comparison, and a bucket stays open, with more hubs each time, until every two
-of its classes that are not connected have been compared. So a group of n
-copies costs about n comparisons, and no pair between components is left out.
+comparison. What stays open is ruled out by counts where
+possible: with a of the hub's shingles, e others that some open class shares
+and u that none shares, two classes x and y have at most min(a, a') + min(e, e')
+shingles in common. Classes with equal counts, rounded to fiftieths of the hub,
+form a profile; only classes whose profiles can reach the threshold, which are
+not connected and which share a bucket are compared. So a group of n copies
+costs about n comparisons, and no pair between components is left out.
 
 Defined results: a null, empty or blank text has an empty set and is linked
 with nothing; a text with fewer words than a shingle is one shingle; rows that
@@ -29,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import (
@@ -119,7 +123,7 @@ def features(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach ``percent``. ``texts``: ``doc_id, text`` of the classes.
+    """The pairs (a, b) with the sizes of their full sets, ``both`` and ``linked``. ``texts``: ``doc_id, text`` of the classes.
 
     A class that many others are compared with is dealt to several tasks, one
     for every 2,000 of its pairs.
@@ -138,20 +142,17 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         last: tuple[int | None, bytes, np.ndarray] = (None, b"", np.zeros(0, np.uint64))
         for batch in slices(batches, 200):
             a, b = column(batch, "a"), column(batch, "b")
-            good = []
+            counts = []
             for y, left_text, right_text in zip(b, binary_column(batch, "text_a"), binary_column(batch, "text_b"), strict=True):
                 if (y, right_text) != last[:2]:
                     last = (y, right_text, shingle_set(right_text, width, hashes))
                 one, two = shingle_set(left_text, width, hashes), last[2]
-                if min(len(one), len(two)) * 100 < percent * max(len(one), len(two)):
-                    good.append(False)
-                    continue
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                good.append(100 * both >= percent * (len(one) + len(two) - both))
-            keep = np.flatnonzero(good).tolist()
-            yield pa.RecordBatch.from_pydict({"a": pa.array([a[i] for i in keep], pa.int64()), "b": pa.array([b[i] for i in keep], pa.int64())})
+                counts.append((len(one), len(two), len(np.intersect1d(one, two, assume_unique=True))))
+            n_a, n_b, both = (pa.array(c, pa.int64()) for c in (zip(*counts, strict=True) if counts else ((), (), ())))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), n_a, n_b, both], ["a", "b", "n_a", "n_b", "both"])
 
-    return ship(left).join(right, ["b", "salt"]).mapInArrow(confirm, "a bigint, b bigint")
+    found = ship(left).join(right, ["b", "salt"]).mapInArrow(confirm, "a bigint, b bigint, n_a bigint, n_b bigint, both bigint")
+    return found.withColumn("linked", F.expr(f"100 * both >= {percent} * (n_a + n_b - both)"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -173,14 +174,35 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _with_component(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``bucket, hub, id`` with the component of ``id``."""
     if labels is None:
-        return members.withColumn("component", F.col("id"))
+        return members.select("bucket", "hub", "id", F.col("id").alias("component"))
     named = labels.select(F.col("node").alias("id"), F.col("component").alias("_c"))
-    return members.join(named, "id", "left").select("bucket", "id", F.coalesce("_c", "id").alias("component"))
+    return members.join(named, "id", "left").select("bucket", "hub", "id", F.coalesce("_c", "id").alias("component"))
 
 
-def linked(found: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``set_key, rep, n_docs`` of the classes, and ``a, b``: links that connect all linked classes."""
+def own_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """``id, u``: how many shingles of a text no other text has; without a row, none."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in slices(batches):
+            ids = np.array(column(batch, "doc_id"), np.int64)
+            sets = [shingle_set(t, width, hashes) for t in binary_column(batch, "text")]
+            sizes = np.array([len(s) for s in sets])
+            every, first, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(as_long(every)), pa.array(n), pa.array(np.repeat(ids, sizes)[first])],
+                ["shingle", "n", "id"],
+            )
+
+    found = ship(texts).mapInArrow(count, "shingle bigint, n bigint, id bigint")
+    single = found.groupBy("shingle").agg(F.sum("n").alias("n"), F.min("id").alias("id")).where("n = 1")
+    return single.groupBy("id").agg(F.count("*").alias("u"))
+
+
+def linked(found: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """``set_key, rep, n_docs`` of the classes, and ``node, component`` of the linked ones."""
     classes = found.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_docs"))
     classes = stored(classes, "classes")
     reps = found.join(classes.select("set_key", F.col("rep").alias("doc_id")), ["set_key", "doc_id"], "left_semi")
@@ -193,39 +215,86 @@ def linked(found: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(asked.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "texts")
 
     compared = stored(members.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), "compared")
-    links = stored(verified(compared, texts, width, percent), "links")
-    rest, spread = members.where("id <> hub").select("bucket", "id"), 1
-    while True:
+    checked = stored(verified(compared, texts, width, percent), "checked")
+    links = checked.where("linked").select("a", "b")
+    labels = components(links) if links.limit(1).count() else None
+    rest = _open(_with_component(members.where("id <> hub"), labels))
+    if rest is not None:
+        known = stored(rest.join(_profiles(rest, checked, texts, width), ["hub", "id"]), "known")
+        new = _within_reach(known, percent).join(compared, ["a", "b"], "left_anti")
+        more = verified(stored(new, "compared"), texts, width, percent).where("linked").select("a", "b")
+        links = stored(links.unionByName(more), "links")
         labels = components(links) if links.limit(1).count() else None
-        named = stored(_with_component(rest, labels), "rest")
-        split = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low <> high")
-        split = stored(split, "split")
-        total = split.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-        if not total:
-            return classes, links
-        open_ = stored(with_heavy_split(named, split.select("bucket", "size"), "bucket", "size", total), "open")
-        dealt = F.pmod(F.xxhash64("id", F.lit(spread)), F.lit(spread))
-        hubs = stored(open_.groupBy("bucket", dealt.alias("part")).agg(F.min("id").alias("hub")).select("bucket", "hub"), "hubs")
-        hub = hubs.join(_with_component(hubs.select("bucket", F.col("hub").alias("id")), labels).select("bucket", F.col("id").alias("hub"), F.col("component").alias("hub_component")), ["bucket", "hub"])
-        pairs = open_.join(hub, "bucket").where("component <> hub_component")
-        pairs = pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-        new = stored(pairs.join(compared, ["a", "b"], "left_anti"), "compared")
-        links = stored(links.unionByName(verified(new, texts, width, percent)), "links")
-        compared = stored(compared.unionByName(new), "compared")
-        rest = open_.join(hubs.withColumnRenamed("hub", "id"), ["bucket", "id"], "left_anti").select("bucket", "id")
-        spread *= 4
+    return classes, labels
+
+
+def _profiles(rest: DataFrame, checked: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``hub, id, n, a, e, u``: size of each open class, its shingles in the hub, shared outside it, and shared by no one."""
+    pairs = rest.select("hub", "id").distinct()
+    ids = pairs.select(F.col("id").alias("doc_id")).unionByName(pairs.select(F.col("hub").alias("doc_id"))).distinct()
+    own = own_shingles(texts.join(ids, "doc_id", "left_semi"), width)
+    sizes = checked.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("n_a").alias("n"), F.col("both").alias("a"), "n_b")
+    u = F.coalesce("u", F.lit(0))
+    step = F.greatest(F.lit(1), F.floor(F.col("n_b") / 50))
+    return pairs.join(sizes, ["hub", "id"]).join(own, "id", "left").select("hub", "id", "n", "a", (F.col("n") - F.col("a") - u).alias("e"), u.alias("u"), step.alias("step"))
+
+
+def _reachable(x: str, y: str, percent: int) -> Column:
+    """Whether two profiles allow the threshold: at most ``both`` common shingles, at least ``union`` in all."""
+    at = lambda s, c: F.col(f"{s}.{c}")
+    both = F.least(at(x, "a"), at(y, "a")) + F.least(at(x, "e"), at(y, "e"))
+    union = F.greatest(at(x, "n") + at(y, "n") - both, both + at(x, "u") + at(y, "u"))
+    return both * 100 >= union * percent
+
+
+def _within_reach(members: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` (a over b) of unconnected members of a bucket that can reach the threshold.
+
+    Profiles are rounded a and e up, n and u down, which only widens the reach
+    and leaves a bounded number of them per hub; members meet by way of the
+    profiles that reach each other, never all with all.
+    """
+    up = lambda c: F.ceil(F.col(c) / F.col("step")) * F.col("step")
+    down = lambda c: F.floor(F.col(c) / F.col("step")) * F.col("step")
+    one = members.groupBy("hub", "id").agg(*[F.first(c).alias(c) for c in ("component", "n", "a", "e", "u", "step")], F.collect_set("bucket").alias("buckets"))
+    one = one.withColumn("p", F.struct(down("n").alias("n"), up("a").alias("a"), up("e").alias("e"), down("u").alias("u")))
+    one = stored(one.select("hub", "p", F.struct("id", "component", "n", "a", "e", "u", "buckets").alias("x")), "one")
+    kinds = stored(one.groupBy("hub", "p").agg(F.min("x.component").alias("low"), F.max("x.component").alias("high")), "kinds")
+    x = kinds.withColumnRenamed("p", "x")
+    y = kinds.select("hub", F.col("p").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
+    apart = (F.col("low") != F.col("high_y")) | (F.col("high") != F.col("low_y"))
+    near = stored(x.join(y, "hub").where((F.col("x") <= F.col("y")) & apart & _reachable("x", "y", percent)).select("hub", F.col("x").alias("p"), F.col("y").alias("q")), "near")
+    left = one.join(near, ["hub", "p"])
+    right = one.select(F.col("hub").alias("hub_y"), F.col("p").alias("p_y"), F.col("x").alias("y"))
+    meet = (
+        (F.col("hub") == F.col("hub_y"))
+        & (F.col("q") == F.col("p_y"))
+        & (F.col("x.component") != F.col("y.component"))
+        & ((F.col("p") != F.col("q")) | (F.col("x.id") < F.col("y.id")))
+        & _reachable("x", "y", percent)
+        & F.arrays_overlap("x.buckets", "y.buckets")
+    )
+    pairs = left.join(right, meet)
+    return pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
+
+
+def _open(members: DataFrame) -> DataFrame | None:
+    """The members (``bucket, hub, id, component`` and more) of the buckets that hold several components; None if there are none."""
+    members = stored(members, "rest")
+    split = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    split = stored(split.where("low <> high").select("bucket", "size"), "split")
+    total = split.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return stored(with_heavy_split(members, split, "bucket", "size", total), "open") if total else None
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
     found = stored(features(docs, width, percent), "features")
-    classes, links = linked(found, docs, width, percent)
-    named = classes
-    if links.limit(1).count():
-        labels = components(links).withColumnRenamed("node", "rep")
-        named = classes.join(labels, "rep", "left")
-    else:
+    classes, labels = linked(found, docs, width, percent)
+    if labels is None:
         named = classes.withColumn("component", F.col("rep"))
+    else:
+        named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = stored(named.select("set_key", "n_docs", F.coalesce("component", "rep").alias("component_id")), "named")
     total = named.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
     own = found.select("doc_id", "n_shingles", "set_key")

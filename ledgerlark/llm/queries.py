@@ -15,6 +15,7 @@ from ledgerlark.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    sql,
     substring_dedup,
     url_rules,
 )
@@ -87,7 +88,8 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("plain", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    kinds = F.transform("plain", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed("plain").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
@@ -115,4 +117,9 @@ QUERIES = {
         op10_substring_dedup,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_quality_rules": sql.quality_rules(),
+    "op5_line_dedup": sql.line_dedup(),
+    "op7_minhash_near_dedup": sql.near_dedup(),
+    "op10_substring_dedup": sql.substring_dedup(),
+}

@@ -55,7 +55,8 @@ APPLICATION_TRAIN = ViewSpec(
                         "ELSE CAST(1615 + (c_custkey*613 % 1000)*50 AS DOUBLE) END"),
         ("DAYS_BIRTH", "-(7489 + (c_custkey*4447 % 17740))"),
         ("DAYS_EMPLOYED", "CASE WHEN c_custkey % 6 = 0 THEN 365243 ELSE -(c_custkey*97 % 17912) END"),
-        ("OCCUPATION_TYPE", "CASE WHEN c_custkey % 10 < 3 THEN NULL ELSE c_mktsegment END"),
+        ("OCCUPATION_TYPE", "CASE WHEN c_custkey % 10 < 3 THEN NULL WHEN c_custkey % 10 < 7 THEN 'BUILDING' "
+                            "ELSE c_mktsegment END"),
         ("NAME_EDUCATION_TYPE", "CASE c_nationkey % 5 WHEN 0 THEN 'Academic degree' "
                                 "WHEN 1 THEN 'Higher education' WHEN 2 THEN 'Incomplete higher' "
                                 "WHEN 3 THEN 'Lower secondary' ELSE 'Secondary / secondary special' END"),
@@ -119,14 +120,15 @@ _BB_CODE = "(l_orderkey*13 + l_linenumber*7) % 100"
 BUREAU_BALANCE = ViewSpec(
     "bureau_balance", "lineitem",
     [
-        ("SK_ID_BUREAU", "CASE WHEN l_orderkey % 20 = 19 THEN l_orderkey + 10000000 ELSE l_orderkey END"),
-        ("MONTHS_BALANCE", "-((l_linenumber-1)*14 + l_orderkey % 13)"),
+        # the months of loans 0-10 of every 20 go to loans 11-18, so that some loans have no history
+        ("SK_ID_BUREAU", "CASE WHEN l_orderkey % 20 = 19 THEN l_orderkey + 10000000 "
+                         "WHEN l_orderkey % 20 < 11 THEN l_orderkey - l_orderkey % 20 + 11 + (l_orderkey % 20) % 8 "
+                         "ELSE l_orderkey END"),
+        ("MONTHS_BALANCE", "CAST(-((l_linenumber-1)*14 + l_partkey % 14) AS BIGINT)"),
         ("STATUS", f"CASE WHEN {_BB_CODE} < 50 THEN 'C' WHEN {_BB_CODE} < 73 THEN '0' "
                    f"WHEN {_BB_CODE} < 94 THEN 'X' "
                    f"ELSE CAST({_BB_CODE} % 5 + 1 AS {{CHAR1}}) END"),
     ],
-    where="l_orderkey % 20 >= 11",
-    distinct=True,
     needs=("lineitem",),
 )
 
@@ -134,7 +136,8 @@ _DUE = "-(31 + (l_orderkey*17 + l_linenumber*30) % 2880)"
 INSTALLMENTS_PAYMENTS = ViewSpec(
     "installments_payments", "lineitem",
     [
-        ("SK_ID_CURR", "o_custkey"),
+        # customer 5 of every 20 has no payments: the next customer has them
+        ("SK_ID_CURR", "CASE WHEN o_custkey % 20 = 5 THEN o_custkey + 1 ELSE o_custkey END"),
         ("SK_ID_PREV", "l_orderkey"),
         ("NUM_INSTALMENT_VERSION", "CAST(l_orderkey % 3 AS DOUBLE)"),
         ("NUM_INSTALMENT_NUMBER", "CAST(l_linenumber AS BIGINT)"),
@@ -143,10 +146,10 @@ INSTALLMENTS_PAYMENTS = ViewSpec(
                                f"ELSE CAST({_DUE} + l_partkey % 41 - 30 AS DOUBLE) END"),
         ("AMT_INSTALMENT", "l_extendedprice"),
         ("AMT_PAYMENT", "CASE WHEN l_partkey % 400 = 0 THEN NULL "
-                        "WHEN l_suppkey % 10 = 0 THEN l_extendedprice - 100 ELSE l_extendedprice END"),
+                        "WHEN l_suppkey % 10 = 0 THEN l_extendedprice - 100 "
+                        "WHEN l_suppkey % 10 = 1 THEN l_extendedprice / 3 ELSE l_extendedprice END"),
     ],
     join_orders=True,
-    where="o_custkey % 20 <> 5",
     needs=("lineitem", "orders"),
 )
 
@@ -173,8 +176,9 @@ POS_CASH_BALANCE = ViewSpec(
     "POS_CASH_balance", "lineitem",
     [
         ("SK_ID_PREV", "l_orderkey"),
-        ("SK_ID_CURR", "o_custkey"),
-        ("MONTHS_BALANCE", "CAST(-(l_linenumber*5) AS BIGINT)"),
+        # customer 6 of every 25 has no such loans: the next customer has them
+        ("SK_ID_CURR", "CASE WHEN o_custkey % 25 = 6 THEN o_custkey + 1 ELSE o_custkey END"),
+        ("MONTHS_BALANCE", "CAST(-(l_linenumber*5 + l_partkey % 5) AS BIGINT)"),
         ("CNT_INSTALMENT", "CASE WHEN l_orderkey % 380 = 0 THEN NULL ELSE CAST(6 + l_orderkey % 30 AS DOUBLE) END"),
         ("CNT_INSTALMENT_FUTURE", "CASE WHEN l_orderkey % 380 = 0 THEN NULL "
                                   "ELSE CAST((l_orderkey + l_linenumber) % 12 AS DOUBLE) END"),
@@ -186,8 +190,6 @@ POS_CASH_BALANCE = ViewSpec(
                        "WHEN (l_orderkey + l_linenumber) % 90 = 0 THEN l_orderkey % 45 ELSE 0 END"),
     ],
     join_orders=True,
-    where="o_custkey % 25 <> 6",
-    distinct=True,
     needs=("lineitem", "orders"),
 )
 

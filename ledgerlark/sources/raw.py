@@ -9,6 +9,7 @@ spelled as the source spells them (``POS_CASH_balance`` keeps its case).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _L, _D, _S, _B = T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType()
@@ -63,22 +64,48 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+def file_schema(spark: SparkSession, path: str, name: str, fmt: str) -> T.StructType:
+    """Schema of the files at ``path`` by column name: declared types for the columns of
+    ``SCHEMAS[name]``, what the file says (CSV: text) for all others.
+
+    Raises when a declared column is missing or a name comes twice, so that
+    nothing is ever bound by position.
+    """
+    declared = {f.name.lower(): f for f in SCHEMAS[name].fields}
+    if fmt == "csv":  # names from the header row; nothing is inferred
+        found = [T.StructField(c, _S) for c in spark.read.option("header", True).csv(path).columns]
+    else:
+        found = spark.read.format(fmt).load(path).schema.fields
+    names = [f.name.lower() for f in found]
+    missing = [f.name for key, f in declared.items() if key not in names]
+    if missing:
+        raise ValueError(f"{name}: {path} has no column {', '.join(missing)}")
+    if len(set(names)) < len(names):
+        raise ValueError(f"{name}: {path} names a column twice")
+    return T.StructType([declared.get(f.name.lower(), f) for f in found])
+
+
 def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Read one raw table from ``{root}/{name}`` (a file or a directory of files).
 
-    CSV is read with the explicit schema and a header row, never inferred,
-    and values keep their leading/trailing white space (the audits look for it).
-    Parquet is read with its own footer schema and then aligned to ours by
-    name, so an extra column in the files is ignored rather than fatal.
+    Columns are bound by name, in whatever order the files have them: the
+    declared ones come first with their declared types, all others follow
+    unchanged, and a missing one raises. CSV files need a header row that is
+    the same in every file; values keep their leading and trailing white space
+    (the audits look for it).
     """
     path = f"{root.rstrip('/')}/{name}"
-    schema = SCHEMAS[name]
+    schema = file_schema(spark, path, name, fmt)
     if fmt == "csv":
-        return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-                .csv(path))
-    df = spark.read.format(fmt).load(path)
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+        df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
+              .option("enforceSchema", False)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .csv(path))
+    else:
+        df = spark.read.format(fmt).load(path)
+    own = [f.name for f in SCHEMAS[name].fields]
+    rest = [f.name for f in schema.fields if f.name not in own]
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields], *rest)
 
 
 def load_tables(spark: SparkSession, root: str, fmt: str = "parquet",

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import staging as st
-from ..sources.raw import SCHEMAS
+from ..sources.raw import file_schema
 
 STAGERS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "application_train": st.stg_application_train_clean,
@@ -35,11 +35,15 @@ STAGERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 def raw_stream(spark: SparkSession, table: str, source_dir: str, fmt: str = "parquet",
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """A stream of raw rows from new files under ``source_dir`` (explicit schema)."""
-    r = spark.readStream.schema(SCHEMAS[table]).format(fmt)
+    """A stream of raw rows from new files under ``source_dir``, bound by column name.
+
+    The files present at the start name the columns; a bad CSV row or a file
+    with another header fails the query instead of giving NULLs.
+    """
+    r = spark.readStream.schema(file_schema(spark, source_dir, table, fmt)).format(fmt)
     if fmt == "csv":
-        r = (r.option("header", True).option("ignoreLeadingWhiteSpace", False)
-             .option("ignoreTrailingWhiteSpace", False))
+        r = (r.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(source_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -15,7 +16,7 @@ from ledgerlark.streaming.incremental import stage_stream
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_raw_parquet_and_csv_round_trip(spark, tmp_path):
@@ -80,3 +81,30 @@ def test_streaming_staging_from_csv_keeps_padding(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "staged"))
     assert _rows(got) == _rows(st.stg_bureau(raw))
     assert got.where(F.col("CREDIT_TYPE") == " credit Card ").count() > 0
+
+
+def test_raw_columns_are_bound_by_name(spark, tmp_path):
+    """Another column order and extra columns, in CSV and parquet; a missing column raises."""
+    cat = entry.catalog(spark, SF_SMALL)
+    inst, app = cat.src["installments_payments"], cat.src["application_train"]
+    shuffled = inst.select(F.lit("x ").alias("EXTRA"), *reversed(inst.columns))
+    shuffled.write.option("header", True).option("ignoreTrailingWhiteSpace", False).csv(str(tmp_path / "csv" / "installments_payments"))
+    shuffled.write.parquet(str(tmp_path / "pq" / "installments_payments"))
+    for fmt in ("csv", "parquet"):
+        got = load_table(spark, str(tmp_path / ("csv" if fmt == "csv" else "pq")), "installments_payments", fmt=fmt)
+        assert got.columns[-1] == "EXTRA" and got.where("EXTRA <> 'x '").count() == 0
+        assert _rows(got.select(*inst.columns)) == _rows(inst)
+    inst.drop("SK_ID_PREV").write.option("header", True).csv(str(tmp_path / "bad" / "installments_payments"))
+    with pytest.raises(ValueError, match="SK_ID_PREV"):
+        load_table(spark, str(tmp_path / "bad"), "installments_payments", fmt="csv")
+    app.withColumn("CODE_GENDER", F.lit("F")).write.parquet(str(tmp_path / "pq" / "application_train"))
+    more = Catalog(dict(cat.src, application_train=load_table(spark, str(tmp_path / "pq"), "application_train")), spark=spark)
+    assert "CODE_GENDER" in more.stg_application_train_clean.columns
+    assert "CODE_GENDER" in more.mart_target_kpi_analysis.columns
+
+
+def test_build_writes_each_table_once(spark, tmp_path):
+    cat = Catalog(entry.catalog(spark, SF_SMALL).src, materialize=True, spark=spark)
+    out = build(cat, str(tmp_path / "out"))
+    assert all(path == f"{tmp_path}/out/{name}" for name, path in out.items())
+    assert set(cat.written.values()) <= {f"{tmp_path}/out/{m}" for m in [*out, "bureau_balance_loan_summary"]}

@@ -130,10 +130,21 @@ def count_distinct_category(x: ColumnOrName) -> Column:
     return F.size(F.collect_set(_c(x))).cast("bigint")
 
 
-def exact_avg(x: ColumnOrName, scale: int = 9) -> Column:
+def safe_bigint(x: ColumnOrName) -> Column:
+    """``safe_cast(x as int64)`` of a text column: NULL where the text is no integer.
+
+    The cast runs only where the text looks like one; a failed parse costs an
+    exception per row.
+    """
+    x = _c(x)
+    return F.when(x.rlike(r"^\s*[+-]?[0-9]+\s*$"), x.try_cast("bigint"))
+
+
+def exact_avg(x: ColumnOrName, scale: int = 15) -> Column:
     """Mean of a fractional column that does not depend on summation order.
 
-    Each value is rounded to ``scale`` decimals and summed as DECIMAL (exact),
+    Each value is summed as DECIMAL(38, 15), which holds every digit of the
+    decimal text of a double of 1 or more (sums must stay below 1e23);
     the sum is turned into a double through its decimal text (correctly
     rounded) and divided by the count.  A double ``avg`` of ratios changes in
     its last bits with partitioning and task order; this one does not.
@@ -143,10 +154,12 @@ def exact_avg(x: ColumnOrName, scale: int = 9) -> Column:
     return F.try_divide(total, F.count(x))
 
 
-def money_sum(x: ColumnOrName, scale: int = 2) -> Column:
-    """Order-independent sum of a money column (T18).
+def money_sum(x: ColumnOrName, scale: int = 12) -> Column:
+    """Order-independent sum of a money column (T18); no addend is rounded to cents.
 
     Summing as DECIMAL makes the result independent of partitioning and task
-    order; it is cast back to double at the end.
+    order. Twelve decimals hold the text of any amount of 1,000 or more in
+    full; amounts must stay below 1e18 and sums below 1e26. The sum becomes a
+    double through its decimal text, so it is correctly rounded.
     """
-    return F.sum(_c(x).cast(f"decimal(28,{scale})")).cast("double")
+    return F.sum(_c(x).cast(f"decimal(30,{scale})")).cast("string").cast("double")

@@ -28,6 +28,7 @@ from ..functions.compat import (
     exact_avg,
     greatest_nullprop,
     money_sum,
+    safe_bigint,
     safe_div,
 )
 
@@ -56,7 +57,7 @@ def bureau_balance_loan_summary(balance: DataFrame) -> DataFrame:
     """One row per loan from the monthly history: every per-loan metric any model needs."""
     status = F.col("STATUS")
     months_ago = -F.col("MONTHS_BALANCE")
-    dpd_bucket = status.try_cast("bigint")
+    dpd_bucket = safe_bigint(status)
     was_late = F.when(status.isin(LATE_CODES), F.lit(True)).when(status.isin(ON_TIME_CODES), F.lit(False))
     return balance.groupBy("SK_ID_BUREAU").agg(
         F.count(F.lit(1)).alias("months_of_history"),

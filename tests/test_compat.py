@@ -112,3 +112,18 @@ def test_top_k_breaks_ties_deterministically(spark):
     assert got == [39, 38, 37, 36, 35]
     ties = [r.id for r in top_violations(df, F.col("v") < 11, F.col("v").desc(), ["id"], n=3, tie="id").collect()]
     assert ties == [0, 1, 2]
+
+
+def test_money_is_not_rounded_per_row(spark):
+    df = spark.createDataFrame([(1716.525,), (1716.525,), (None,)], "x double")
+    assert df.agg(C.money_sum("x")).first()[0] == 3433.05
+    third = spark.createDataFrame([(1000 / 3,)] * 3, "x double")
+    assert abs(third.agg(C.money_sum("x")).first()[0] - 1000) < 1e-9
+    ratio = spark.createDataFrame([(1 / 3,), (2 / 3,)], "x double")
+    assert ratio.agg(C.exact_avg("x")).first()[0] == 0.5
+
+
+def test_safe_bigint_of_digits_and_letters(spark):
+    rows = [("0", 0), ("5", 5), (" -12 ", -12), ("+3", 3), ("C", None), ("X", None), ("", None), ("1.5", None), (None, None), ("99999999999999999999", None)]
+    df = spark.createDataFrame(rows, "s string, want long")
+    assert [r[0] for r in df.select(C.safe_bigint("s")).collect()] == [w for _, w in rows]

@@ -43,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
         from .session import apply_scale_settings
         for k, v in apply_scale_settings(spark, [args.raw]).items():
             print(f"# {k}={v}")
-    cat = Catalog(load_tables(spark, args.raw, args.fmt), materialize=args.command != "check", spark=spark)
+    cat = Catalog(load_tables(spark, args.raw, args.fmt), materialize=args.command == "build", spark=spark)
 
     if args.command == "build":
         for name, path in build(cat, args.out).items():

@@ -61,15 +61,18 @@ def check_accepted_range(df: DataFrame, col: str, model: str, min_value=None, ma
     return _rows(model, [(col, count_if(~ok))], src)
 
 
-def check_join_preserves_rows(left: DataFrame, joined: DataFrame, key: str, model: str) -> DataFrame:
+def check_join_preserves_rows(left: DataFrame, joined: DataFrame, key: str, model: str,
+                              hit: str = "has_monthly_history") -> DataFrame:
     """A left join onto a per-key summary must keep the row count and the key unique.
 
     failures = |rows(joined) - rows(left)| + duplicated keys in ``joined``.
+    ``hit`` is a flag that the join sets (never NULL); the joined rows are
+    counted by it, so that the join is really run.
     """
     dup = check_unique(joined, key, model).select(F.col("failures").alias("_dup"))
-    counts = (left.select(F.lit(1).alias("_l"), F.lit(0).alias("_j"))
-              .unionByName(joined.select(F.lit(0).alias("_l"), F.lit(1).alias("_j")))
-              .agg(F.sum("_l").alias("_nl"), F.sum("_j").alias("_nj")))
+    counts = (left.select(F.lit(1).alias("_l"), F.lit(None).cast("boolean").alias("_hit"))
+              .unionByName(joined.select(F.lit(0).alias("_l"), F.col(hit).alias("_hit")))
+              .agg(F.sum("_l").alias("_nl"), (count_if(F.col("_hit")) + count_if(~F.col("_hit"))).alias("_nj")))
     both = counts.unionByName(dup, allowMissingColumns=True).agg(
         F.max("_nl").alias("_nl"), F.max("_nj").alias("_nj"), F.max("_dup").alias("_dup"))
     return both.select(

@@ -32,6 +32,8 @@ def grain(df: DataFrame, table_name: str, key: str | Sequence[str], names: Mappi
     NULL part, as a ``count(distinct concat(...))`` does (T14).
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if len(keys) == 2 and not entity:
+        return _nested_grain(df, table_name, keys, names, per_entity_digits, range_col, null_cols)
     n = _n()
     distinct_keys = F.count_distinct(*[F.col(k) for k in keys])
     cols = [F.lit(table_name).alias("table_name"), n.alias("total_rows")]
@@ -52,6 +54,40 @@ def grain(df: DataFrame, table_name: str, key: str | Sequence[str], names: Mappi
     return df.agg(*cols)
 
 
+def _nested_grain(df: DataFrame, table_name: str, keys: Sequence[str], names: Mapping[str, str],
+                  per_entity_digits: int, range_col: str | None, null_cols: Mapping[str, str] | None) -> DataFrame:
+    """:func:`grain` of a two-part key by nested aggregates: (first, second), then first, then all.
+
+    Two distinct sets in one aggregate would multiply every row (Expand);
+    nested groups shuffle each row once, already counted per key.
+    """
+    first, second = keys
+    extra = {c for c in [range_col, *(null_cols or {}).values()] if c and c not in keys}
+    if extra:
+        raise ValueError("range and NULL columns must be key parts")
+    pair = df.groupBy(first, second).agg(_n().alias("_rows"))
+    whole = F.col(first).isNotNull() & F.col(second).isNotNull()
+    aggs = [F.sum("_rows").alias("_rows"), count_if(whole).alias("_pairs"),
+            F.sum(F.when(F.col(second).isNull(), F.col("_rows"))).alias("_null_second")]
+    if range_col:
+        aggs += [F.min(range_col).alias("_low"), F.max(range_col).alias("_high")]
+    one = pair.groupBy(first).agg(*[a for a in aggs])
+    total = F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint")
+    pairs, firsts = F.coalesce(F.sum("_pairs"), F.lit(0)).cast("bigint"), F.count(first)
+    cols = [F.lit(table_name).alias("table_name"), total.alias("total_rows")]
+    if "distinct_first_key" in names:
+        cols.append(firsts.alias(names["distinct_first_key"]))
+    cols += [pairs.alias(names["distinct_keys"]), (total - pairs).alias(names["duplicates"])]
+    if "per_entity" in names:
+        cols.append(F.round(safe_div(total, firsts), per_entity_digits).alias(names["per_entity"]))
+    if range_col:
+        cols += [F.min("_low").alias(names["range_min"]), F.max("_high").alias(names["range_max"])]
+    for out, c in (null_cols or {}).items():
+        part = F.sum(F.when(F.col(first).isNull(), F.col("_rows"))) if c == first else F.sum("_null_second")
+        cols.append(F.coalesce(part, F.lit(0)).cast("bigint").alias(out))
+    return one.agg(*cols)
+
+
 def full_row_duplicates(df: DataFrame) -> DataFrame:
     """Rows, distinct full rows (NULLs compare equal) and identical duplicates (T13).
 
@@ -135,15 +171,17 @@ def numeric_profile(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000)
 def category_profile(df: DataFrame, cols: Sequence[str], rare: float = 0.01) -> DataFrame:
     """Per (column, value): count, share of the column, hidden/inner space, case, rarity.
 
-    ``unpivot`` + one ``groupBy`` instead of one scan per column; the window
-    then runs over the aggregated (column, value) rows only.
+    ``unpivot`` + one ``groupBy`` instead of one scan per column; the column
+    totals come from the aggregated (column, value) rows.
     """
     long = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
         [], list(cols), "column_name", "value")
     counts = long.groupBy("column_name", "value").agg(_n().alias("row_count"))
-    col_total = F.sum("row_count").over(Window.partitionBy("column_name"))
+    # the totals have one row per column; a window would gather every distinct value of a column in one task
+    totals = counts.groupBy("column_name").agg(F.sum("row_count").alias("_total"))
+    col_total = F.col("_total")
     v = F.col("value")
-    return counts.select(
+    return counts.join(F.broadcast(totals), "column_name").select(
         "column_name", "value", "row_count",
         F.round(safe_div(F.lit(100) * F.col("row_count"), col_total), 4).alias("pct_of_column"),
         (v != trim_ws(v)).alias("has_hidden_whitespace"),
@@ -171,7 +209,8 @@ def spelling_variants(df: DataFrame, col: str, sep: str = " | ") -> DataFrame:
 def value_distribution(df: DataFrame, col: str, allowed: Sequence[str], digits: int = 2) -> DataFrame:
     """Per value: count, % of all rows, length, and whether it is outside ``allowed``."""
     counts = df.groupBy(col).agg(_n().alias("row_count"))
-    total = F.sum("row_count").over(Window.partitionBy())
+    total = counts.agg(F.sum("row_count")).scalar()
+    # the total is one number; a window over all values would gather them in one task
     return counts.select(
         col, "row_count",
         F.round(safe_div(F.lit(100) * F.col("row_count"), total), digits).alias("pct_of_rows"),

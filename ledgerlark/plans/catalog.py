@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import features as ft
@@ -33,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; it must be configured, never guessed."""
     try:
         d = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 -- Spark Connect: only the configuration is visible
+    except PySparkException:  # Spark Connect: only the configuration is visible
         d = None
     d = d or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -43,17 +44,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 class Catalog:
     def __init__(self, sources: dict[str, DataFrame], materialize: bool = False,
-                 spark: SparkSession | None = None, run_id: str | None = None) -> None:
+                 spark: SparkSession | None = None, run_id: str | None = None, dest: str | None = None) -> None:
         self.src = sources
         self.materialize = materialize
         self.spark = spark or next(iter(sources.values())).sparkSession
         self.run_id = run_id or uuid.uuid4().hex[:12]
+        #: Folder of the materialised models, by default one under the shared folder.
+        self.dest = dest
+        #: Materialised models: name -> path.
+        self.written: dict[str, str] = {}
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         if not (self.materialize and name in TABLE_MODELS):
             return df
-        path = f"{shared_dir(self.spark)}/ledgerlark-tables/{self.run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        from .sinks import BUILD_MODELS, write_table
+
+        root = self.dest or f"{shared_dir(self.spark)}/ledgerlark-tables/{self.run_id}"
+        path = f"{root.rstrip('/')}/{name}"
+        write_table(df, path, cluster_by=BUILD_MODELS.get(name, ()))
+        self.written[name] = path
         return self.spark.read.parquet(path)
 
     # ---------------------------------------------------------------- staging

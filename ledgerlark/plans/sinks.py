@@ -52,13 +52,19 @@ def build(catalog: Catalog, dest: str | None = None) -> dict[str, str]:
     """Write every table model of the DAG (the equivalent of a full ``run``).
 
     ``dest`` defaults to a folder under the shared checkpoint directory.
-    Returns model name -> path.
+    A model that the catalog materialises itself, on the way to another, is
+    written once, to the same folder. Returns model name -> path.
     """
     root = (dest or f"{shared_dir(catalog.spark)}/ledgerlark-build/{catalog.run_id}").rstrip("/")
+    if catalog.materialize and not catalog.written:
+        catalog.dest = root
     out = {}
     for name, keys in BUILD_MODELS.items():
         path = f"{root}/{name}"
         model = getattr(catalog, name)
+        if catalog.written.get(name) == path:
+            out[name] = path
+            continue
         write_table(model() if callable(model) else model, path, cluster_by=keys)
         out[name] = path
     return out

@@ -71,15 +71,14 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return total
 
 
-def scale_settings(total_input_bytes: int, partition_bytes: int = PARTITION_BYTES,
-                   max_partitions: int = 100_000) -> dict[str, str]:
+def scale_settings(total_input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> dict[str, str]:
     """Shuffle and scan sizes for an input of ``total_input_bytes``.
 
     Shuffle partitions start at about one per ``partition_bytes`` of input
     (so a partition fits an executor's memory without spilling), and AQE
     coalesces the small ones at run time toward the same advisory size.
     """
-    n = max(200, min(max_partitions, -(-total_input_bytes // partition_bytes)))
+    n = max(200, -(-total_input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.enabled": "true",

@@ -1,195 +1,54 @@
-"""``ntile(n) over (order by x)`` without a single-partition window.
+"""``ntile(n) over (order by x nulls first, tie)`` without sorting or shuffling the rows.
 
-Spark plans a window with no ``partitionBy`` as ``Exchange SinglePartition``:
-every row goes to one task.  Here the global order is split into ranges
-("segments") that are ranked independently:
-
-1. One aggregate pass gets ``count(*)``, ``count(x)`` and ``k - 1`` approximate
-   quantiles of ``x``.  Only these ``k`` numbers reach the driver.
-2. A value that fills more than one quantile slot is *hot* (it holds at least
-   ``1/k`` of the rows, possibly a third of the table).  Its rows, and the NULL
-   rows if they are that many, are split further by quantiles of the
-   tie-break column, in one more small aggregate.  No segment can therefore
-   hold a hot group whole.
-3. Each row gets its segment number from a binary-search ``CASE`` tree over
-   the segment bounds in (x NULLS FIRST, tie) order.  Rows per segment are
-   counted (``<= k`` rows), turned into offsets with a window over those few
-   rows, and broadcast; the broadcast is bounded by the segment count, not by
-   the data.
-4. ``row_number`` inside each segment (a shuffle on the segment number) plus
-   the offset is the global rank; the standard ntile formula turns it into
-   the bucket.
-
-The cut points only decide balance, never the answer: any monotone split of
-the (x, tie) order gives the same ranks, so approximate quantiles and task
-retries cannot change the result.  With a unique tie-break column the result
-equals ``ntile(n) over (order by x nulls first, tie)`` row for row.
+Only the last row of each bucket but the last matters: those n - 1 (x, tie)
+pairs are found by exact rank selection (:mod:`ranks`), first x, then the tie
+key among the rows with that x. Every row then gets its bucket by comparing
+it with the n - 1 pairs, in the scan, so a following aggregate reduces map-side.
+A hot value or hot NULLs need no special care.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranks import values_at_ranks
 
-@dataclass(frozen=True)
-class _Bound:
-    """Inclusive upper bound of a segment in (x is not null, x, tie) order.
-
-    ``x is None`` with ``null_group`` means the NULL rows; ``tie is None`` means
-    "every tie value" at that ``x``.
-    """
-    null_group: bool
-    x: float | None
-    tie: float | None
-
-
-def _le(b: _Bound, x: Column, tie: Column) -> Column:
-    """Row key <= bound, NULLs of ``x`` first (used by tests and as the reference definition)."""
-    if b.null_group:
-        if b.tie is None:
-            return x.isNull()
-        return x.isNull() & (tie <= F.lit(b.tie))
-    if b.tie is None:
-        return x.isNull() | (x <= F.lit(b.x))
-    return x.isNull() | (x < F.lit(b.x)) | ((x == F.lit(b.x)) & (tie <= F.lit(b.tie)))
-
-
-def _tree(conds: list[Column], offset: int) -> Column:
-    """Binary search: index of the first true condition (conditions are monotone), else len."""
-
-    def build(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(offset + lo)
-        mid = (lo + hi) // 2
-        return F.when(conds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
 
-    return build(0, len(conds))
+def bucket_ends(total: int, n: int) -> list[int]:
+    """Ranks of the last rows of all buckets but the last; the first ``total % n`` hold one row more."""
+    size, more = divmod(total, n)
+    ends = [i * size + min(i, more) for i in range(1, n)]
+    return [e for e in ends if 0 < e < total]
 
 
-def _segment_expr(bounds: list[_Bound], x: Column, tie: Column) -> Column:
-    """Index of the first bound the row is <= to (the last segment is open).
-
-    NULL rows are split off once at the top, so the comparisons below carry
-    no NULL tests; the expression stays small enough for the JIT to compile
-    (about two comparisons per bound, ``log2`` of them evaluated per row).
-    """
-    nulls = [b for b in bounds if b.null_group]
-    values = [b for b in bounds if not b.null_group]
-    # every NULL row is <= the last NULL bound ("all NULLs"), so the NULL tree never runs past it
-    null_tree = _tree([tie <= F.lit(b.tie) for b in nulls[:-1]], 0)
-    value_conds = [
-        (x <= F.lit(b.x)) if b.tie is None else ((x < F.lit(b.x)) | ((x == F.lit(b.x)) & (tie <= F.lit(b.tie))))
-        for b in values
-    ]
-    return F.when(x.isNull(), null_tree).otherwise(_tree(value_conds, len(nulls)))
-
-
-def _dedupe(values: list) -> list:
-    out: list = []
-    for v in values:
-        if not out or out[-1] != v:
-            out.append(v)
-    return out
-
-
-def _plan_bounds(df: DataFrame, order_col: str, tie_col: str, k: int, accuracy: int,
-                 rows_per_segment: int | None = None) -> list[_Bound]:
-    probs = [i / k for i in range(1, k)]
-    stats = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(order_col).alias("nn"),
-        F.percentile_approx(order_col, probs, accuracy).alias("q") if probs else F.lit(None).alias("q"),
-    ).first()
-    n, nn, cuts = stats["n"], stats["nn"], list(stats["q"] or [])
-    if n == 0:
-        return []
-    if rows_per_segment:
-        # Fewer, larger segments for small inputs: keep every step-th cut (still a monotone split).
-        want = max(2, min(k, -(-n // rows_per_segment)))
-        step = max(1, round(k / want))
-        if step > 1:
-            cuts = cuts[step - 1::step]
-            k = len(cuts) + 1
-    per_seg = max(1, math.ceil(n / k))
-    # Hot groups: NULLs beyond one segment, and values that fill several cut slots.
-    hot: dict[object, int] = {}
-    if n - nn > per_seg:
-        hot[None] = math.ceil((n - nn) / per_seg)
-    for v in set(cuts):
-        c = cuts.count(v)
-        if c > 1:
-            hot[v] = c + 1
-    tie_cuts: dict[object, list] = {}
-    if hot:
-        hot_vals = [v for v in hot if v is not None]
-        cond = F.col(order_col).isin(hot_vals) if hot_vals else F.lit(False)
-        if None in hot:
-            cond = cond | F.col(order_col).isNull()
-        parts = max(hot.values())
-        tprobs = [i / parts for i in range(1, parts)]
-        rows = (df.where(cond)
-                .groupBy(order_col)
-                .agg(F.percentile_approx(tie_col, tprobs, accuracy).alias("t"))
-                .collect())  # at most one row per hot value, each <= k numbers
-        for r in rows:
-            v = r[order_col]
-            m = hot.get(v, 0)
-            # m - 1 cuts at probabilities j/m, taken from the shared grid i/parts.
-            idx = [min(len(tprobs) - 1, max(0, round(j / m * parts) - 1)) for j in range(1, m)]
-            picks = [r["t"][i] for i in idx] if tprobs else []
-            tie_cuts[v] = _dedupe(sorted(p for p in picks if p is not None))
-
-    bounds: list[_Bound] = []
-    for t in tie_cuts.get(None, []):
-        bounds.append(_Bound(True, None, t))
-    bounds.append(_Bound(True, None, None))
-    for v in _dedupe(sorted(c for c in cuts if c is not None)):
-        for t in tie_cuts.get(v, []):
-            bounds.append(_Bound(False, v, t))
-        bounds.append(_Bound(False, v, None))
-    return bounds
-
-
-def distributed_ntile(df: DataFrame, order_col: str, tie_col: str, n: int, out_col: str,
-                      segments: int | None = None, accuracy: int | None = None,
-                      rows_per_segment: int | None = 1_000_000) -> DataFrame:
+def distributed_ntile(df: DataFrame, order_col: str, tie_col: str, n: int, out_col: str) -> DataFrame:
     """Add ``out_col`` = ``ntile(n) over (order by order_col nulls first, tie_col)``.
 
-    ``segments`` (default: the session's shuffle partition count) caps how
-    many ranges are ranked in parallel; ``rows_per_segment`` sizes the count
-    from the input (small inputs get few segments, and so a small segment
-    expression).  ``tie_col`` must be non-NULL and unique.  ``accuracy`` of the cut-point sketches (default ``32 * segments``)
-    only bounds how uneven the segments can be (about ``1/accuracy`` of the
-    rows each); it never changes a row's bucket.
+    ``order_col`` is a number, ``tie_col`` an integer, non-NULL and unique.
+    The counting jobs run when the DataFrame is built and return at most some
+    thousand counts each, whatever the input's size or partitions.
     """
-    spark = df.sparkSession
-    k = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    k = max(2, k)
-    accuracy = accuracy or max(1_000, 32 * k)
     x, tie = F.col(order_col), F.col(tie_col)
-    bounds = _plan_bounds(df, order_col, tie_col, k, accuracy, rows_per_segment)
-    seg = _segment_expr(bounds, x, tie) if bounds else F.lit(0)
-    tagged = df.withColumn("_seg", seg)
-
-    sizes = tagged.groupBy("_seg").agg(F.count(F.lit(1)).alias("_cnt"))
-    # At most len(bounds) + 1 rows: the window below runs on the segment counts only.
-    every = Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_seg",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(every).alias("_total"),
-    )
-    within = Window.partitionBy("_seg").orderBy(x.asc_nulls_first(), tie.asc_nulls_first())
-    ranked = (tagged.join(F.broadcast(offsets), "_seg")
-              .withColumn("_rn", F.col("_off") + F.row_number().over(within)))
-    q = F.floor(F.col("_total") / F.lit(n))
-    r = F.col("_total") - q * F.lit(n)
-    big = r * (q + 1)  # rows in the first r buckets, each of size q + 1
-    bucket = F.when(F.col("_rn") <= big, F.ceil(F.col("_rn") / (q + 1))).otherwise(
-        r + F.ceil((F.col("_rn") - big) / F.greatest(q, F.lit(1))))
-    return ranked.withColumn(out_col, bucket.cast("bigint")).drop("_seg", "_off", "_total", "_rn")
+    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(x).alias("nn")).first()
+    nulls = stats["n"] - stats["nn"]
+    ends = bucket_ends(stats["n"], n)
+    at = values_at_ranks(df, order_col, lambda _, __: [e - nulls for e in ends]).get(0, {})
+    # per boundary value (None: NULL), the ranks of the boundaries among its rows
+    inside: dict[float | int | None, list[int]] = {}
+    for e in ends:
+        value, before = at[e - nulls] if e > nulls else (None, 0)
+        inside.setdefault(value, []).append(e - nulls - before if e > nulls else e)
+    last: list[Column] = []
+    if inside:
+        kept = x.isin([v for v in inside if v is not None]) | (x.isNull() if None in inside else F.lit(False))
+        same = df.select(x.alias("v"), tie.alias("t")).where(kept)
+        ties = values_at_ranks(same, "t", lambda v, _: inside.get(v, []), group="v")
+        for value, ranks in inside.items():
+            for k in ranks:
+                t = F.lit(ties[value][k][0])
+                last.append((x.isNotNull() | (tie > t)) if value is None else ((x > F.lit(value)) | ((x == F.lit(value)) & (tie > t))))
+    bucket = F.lit(1)
+    for beyond in last:
+        bucket = bucket + F.when(beyond, 1).otherwise(0)
+    return df.withColumn(out_col, bucket.cast("bigint"))

@@ -9,6 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.ntile import distributed_ntile
+from ledgerlark.operators.ranks import quantile_rank, values_at_ranks
 
 
 def _reference(df, n):
@@ -16,8 +17,8 @@ def _reference(df, n):
     return {r.id: r.b for r in df.withColumn("b", F.ntile(n).over(w)).collect()}
 
 
-def _ours(df, n, segments=None):
-    return {r.id: r.b for r in distributed_ntile(df, "x", "id", n, "b", segments=segments).collect()}
+def _ours(df, n):
+    return {r.id: r.b for r in distributed_ntile(df, "x", "id", n, "b").collect()}
 
 
 @pytest.mark.parametrize("n_rows,n", [(1500, 10), (1493, 10), (7, 10), (1, 3), (100, 4)])
@@ -32,12 +33,29 @@ def test_hot_value_and_hot_nulls_are_split(spark):
     # one value holds a third of the rows, NULLs another third
     rows = [(i, 7.0 if i % 3 == 0 else (None if i % 3 == 1 else float(i % 97))) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, x double")
-    assert _ours(df, 10, segments=8) == _reference(df, 10)
-    # the hot groups must be spread over several segments
-    from ledgerlark.operators import ntile as nt
-    bounds = nt._plan_bounds(df, "x", "id", 8, 10_000)
-    assert sum(1 for b in bounds if b.null_group) > 1
-    assert sum(1 for b in bounds if not b.null_group and b.x == 7.0) > 1
+    assert _ours(df, 10) == _reference(df, 10)
+
+
+def test_integers_and_close_doubles(spark):
+    rows = [(i, 10**15 + i % 7) for i in range(500)] + [(1000 + i, -(10**15)) for i in range(50)]
+    assert _ours(df := spark.createDataFrame(rows, "id long, x long"), 9) == _reference(df, 9)
+    rows = [(i, 1e9 + i * 1e-7) for i in range(400)] + [(1000, -1e300), (1001, 1e300)]
+    assert _ours(df := spark.createDataFrame(rows, "id long, x double"), 7) == _reference(df, 7)
+    with pytest.raises(ValueError, match="NaN"):
+        distributed_ntile(spark.createDataFrame([(1, float("nan")), (2, 1.0)], "id long, x double"), "x", "id", 2, "b")
+
+
+@pytest.mark.parametrize("p", [0.01, 0.25, 0.5, 0.75, 0.99])
+def test_quantiles_per_group(spark, p):
+    rnd = random.Random(8)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 0.0, rnd.random() * 1e6, -5.5])) for _ in range(700)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = values_at_ranks(df, "v", lambda _, n: [quantile_rank(n, p)], group="g")
+    for g in ("a", "b", None):
+        own = sorted(v for h, v in rows if h == g and v is not None)
+        k = quantile_rank(len(own), p)
+        value = own[k - 1]
+        assert got[g] == {k: (value, sum(v < value for v in own))}
 
 
 def test_empty_input(spark):
@@ -45,9 +63,7 @@ def test_empty_input(spark):
     assert distributed_ntile(df, "x", "id", 10, "b").count() == 0
 
 
-def test_no_single_partition_exchange_on_rows(spark):
+def test_no_exchange_at_all(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 37).cast("double").alias("x"))
     plan = distributed_ntile(df, "x", "id", 10, "b")._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchange is the one over the per-segment counts
-    assert plan.count("SinglePartition") <= 1
-    assert "hashpartitioning(_seg" in plan
+    assert "Exchange" not in plan and "Window" not in plan and "Join" not in plan

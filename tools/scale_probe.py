@@ -78,7 +78,7 @@ def ntile_probe(rows: int) -> None:
         F.when(F.col("id") % 3 == 0, F.lit(7.0)).when(F.col("id") % 3 == 1, F.lit(None))
         .otherwise((F.col("id") * 7919 % 100_003).cast("double")).alias("x"))
     t0 = time.perf_counter()
-    counts = {r["b"]: r["count"] for r in distributed_ntile(df, "x", "id", 10, "b", segments=64)
+    counts = {r["b"]: r["count"] for r in distributed_ntile(df, "x", "id", 10, "b")
               .groupBy("b").count().collect()}
     elapsed = time.perf_counter() - t0
     spark.stop()

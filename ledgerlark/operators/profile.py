@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.compat import count_if, exact_avg, not_title_case, pct, safe_div, trim_ws
+from .ranks import quantile_table
 
 
 def _n() -> Column:
@@ -137,15 +138,15 @@ def blank_padded_predicates(col: str, *, empty: str | None = None, blank: str |
 PROFILE_PROBS = [("p01", 0.01), ("p25", 0.25), ("median", 0.50), ("p75", 0.75), ("p99", 0.99)]
 
 
-def numeric_profile(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: NULL/zero/negative counts, min, p01..p99, max, max/p99 ratio.
 
     One scan for all columns: ``unpivot`` to (column_name, value) -- values
     cast to double, as the reference's ``UNION ALL`` coerces -- then one
-    ``groupBy(column_name)``.  Every column's quantile sketches are merged
-    in their own final task, not all in one, which is what bounds the final
-    stage when thousands of map tasks each send a sketch.  Sorted by the
-    max/p99 ratio, descending, NULLs last.
+    ``groupBy(column_name)``.  The quantiles are exact at any size: they are
+    found by counting values in cells (:mod:`ranks`), so a final task gets a
+    few numbers per map task.  Sorted by the max/p99 ratio, descending, NULLs
+    last.
     """
     probs = [p for _, p in PROFILE_PROBS]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
@@ -156,10 +157,10 @@ def numeric_profile(df: DataFrame, cols: Sequence[str], accuracy: int = 100_000)
         count_if(x == 0).alias("zero_count"),
         count_if(x < 0).alias("negative_count"),
         F.min(x).alias("min_value"),
-        F.percentile_approx(x, probs, accuracy).alias("_q"),
         F.max(x).alias("max_value"),
     )
-    prof = prof.select(
+    q = quantile_table(long, "v", probs, "column_name")
+    prof = prof.join(F.broadcast(q), prof["column_name"] == q["_g"], "left").select(
         "column_name", "null_count", "zero_count", "negative_count", "min_value",
         *[F.col("_q")[j].alias(name) for j, (name, _) in enumerate(PROFILE_PROBS)],
         "max_value",

@@ -83,3 +83,21 @@ def values_at_ranks(df: DataFrame, value: str, ranks: Ranks, group: str | None =
 def quantile_rank(n: int, p: float) -> int:
     """1-based rank of the discrete quantile ``p`` of ``n`` values."""
     return max(1, n - math.floor(n - p * n))
+
+
+def quantile_table(df: DataFrame, value: str, probs: Sequence[float], group: str) -> DataFrame:
+    """``_g, _q``: the discrete quantiles of ``value`` per group, in the order of ``probs``.
+
+    A small local table (one row per group with a non-NULL value), to be
+    broadcast onto the groups' other aggregates.
+    """
+    sizes: dict[Hashable, int] = {}
+
+    def wanted(key: Hashable, n: int) -> list[int]:
+        sizes[key] = n
+        return [quantile_rank(n, p) for p in probs]
+
+    found = values_at_ranks(df, value, wanted, group)
+    rows = [(key, [float(found[key][quantile_rank(n, p)][0]) for p in probs]) for key, n in sizes.items()]
+    schema = T.StructType([T.StructField("_g", df.schema[group].dataType), T.StructField("_q", T.ArrayType(T.DoubleType()))])
+    return df.sparkSession.createDataFrame(rows, schema)

@@ -2,9 +2,8 @@
 
 All reports end in a ``groupBy`` on a handful of band values: Spark runs a
 partial aggregate per task, so the output stage sees a few rows per task
-whatever the data size.  Quantiles use ``percentile_approx`` (a mergeable
-sketch, partial-aggregated like ``sum``); ``accuracy`` is a parameter: the
-sketch is exact while a group has fewer rows than ``accuracy``.
+whatever the data size.  Quantiles are exact at any size (:mod:`ranks`):
+values are counted in cells, so no sketches of a group meet in one task.
 """
 
 from __future__ import annotations
@@ -14,8 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.compat import band, count_if, default_pct, exact_avg, pct, safe_div
 from .ntile import distributed_ntile
-
-DEFAULT_ACCURACY = 100_000
+from .ranks import quantile_table
 
 # Band edges and labels of the reports (text as the reference writes it).
 CREDIT_INCOME_EDGES = [1, 2, 3, 5]
@@ -44,18 +42,18 @@ def _with_history(app: DataFrame, history: DataFrame, cols: list[str]) -> DataFr
     return app.join(h, app["SK_ID_CURR"] == h["_m_key"], "left")
 
 
-def rpt_egitim_gelir_odeme(app: DataFrame, history: DataFrame,
-                           accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def rpt_egitim_gelir_odeme(app: DataFrame, history: DataFrame) -> DataFrame:
     j = _with_history(app, history, ["total_late_months", "debt_to_credit_ratio"])
-    q = F.percentile_approx("AMT_INCOME_TOTAL", [0.5, 0.25, 0.75], accuracy)
+    # the join keeps the applications as they are, so their incomes can be ranked before it
+    q = quantile_table(app, "AMT_INCOME_TOTAL", [0.5, 0.25, 0.75], "NAME_EDUCATION_TYPE")
     n = F.count(F.lit(1))
     out = j.groupBy(F.col("NAME_EDUCATION_TYPE").alias("egitim")).agg(
         n.alias("musteri_sayisi"),
-        q.alias("_q"),
         default_pct().alias("temerrut_pct"),
         pct(count_if(F.col("total_late_months") > 0), n, 2).alias("gecmiste_gecikme_pct"),
         F.round(exact_avg("debt_to_credit_ratio"), 3).alias("ort_borc_kredi_orani"),
     )
+    out = out.join(F.broadcast(q), out["egitim"].eqNullSafe(q["_g"]), "left")
     return out.select(
         "egitim", "musteri_sayisi",
         F.round(F.col("_q")[0], 0).alias("gelir_medyan"),
@@ -99,17 +97,20 @@ def rpt_yas_egitim_capraz(app: DataFrame) -> DataFrame:
     )
 
 
-def rpt_yas_gelir_odeme(app: DataFrame, history: DataFrame,
-                        accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+def rpt_yas_gelir_odeme(app: DataFrame, history: DataFrame) -> DataFrame:
     j = _with_history(app, history, ["total_late_months", "loans_opened_last_year"])
+    age = band(_age_years_365(), AGE5_EDGES, AGE5_LABELS).alias("yas_grubu")
+    q = quantile_table(app.select(age, "AMT_INCOME_TOTAL"), "AMT_INCOME_TOTAL", [0.5], "yas_grubu")
     n = F.count(F.lit(1))
-    return j.groupBy(band(_age_years_365(), AGE5_EDGES, AGE5_LABELS).alias("yas_grubu")).agg(
+    out = j.groupBy(age).agg(
         n.alias("musteri_sayisi"),
-        F.round(F.percentile_approx("AMT_INCOME_TOTAL", 0.5, accuracy), 0).alias("gelir_medyan"),
         default_pct().alias("temerrut_pct"),
         pct(count_if(F.col("total_late_months") > 0), n, 2).alias("gecmiste_gecikme_pct"),
         F.round(F.avg("loans_opened_last_year"), 2).alias("son_yil_acilan_kredi_ort"),
     )
+    return out.join(F.broadcast(q), out["yas_grubu"].eqNullSafe(q["_g"]), "left").select(
+        "yas_grubu", "musteri_sayisi", F.round(F.col("_q")[0], 0).alias("gelir_medyan"),
+        "temerrut_pct", "gecmiste_gecikme_pct", "son_yil_acilan_kredi_ort")
 
 
 # --------------------------------------------------------------------------- analytics KPIs

@@ -182,9 +182,8 @@ class Catalog:
             self.bureau_kpis_by_customer))
 
     # ---------------------------------------------------------------- reports
-    def rpt_egitim_gelir_odeme(self, accuracy: int = rp.DEFAULT_ACCURACY) -> DataFrame:
-        return rp.rpt_egitim_gelir_odeme(self.src["application_train"], self.mart_customer_credit_history,
-                                         accuracy)
+    def rpt_egitim_gelir_odeme(self) -> DataFrame:
+        return rp.rpt_egitim_gelir_odeme(self.src["application_train"], self.mart_customer_credit_history)
 
     def rpt_gelir_dilimleri(self) -> DataFrame:
         return rp.rpt_gelir_dilimleri(self.src["application_train"])
@@ -195,6 +194,5 @@ class Catalog:
     def rpt_yas_egitim_capraz(self) -> DataFrame:
         return rp.rpt_yas_egitim_capraz(self.src["application_train"])
 
-    def rpt_yas_gelir_odeme(self, accuracy: int = rp.DEFAULT_ACCURACY) -> DataFrame:
-        return rp.rpt_yas_gelir_odeme(self.src["application_train"], self.mart_customer_credit_history,
-                                      accuracy)
+    def rpt_yas_gelir_odeme(self) -> DataFrame:
+        return rp.rpt_yas_gelir_odeme(self.src["application_train"], self.mart_customer_credit_history)

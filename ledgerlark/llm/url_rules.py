@@ -55,18 +55,17 @@ def _lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _rest(url: Column) -> Column:
-    """What follows the first ``://``; empty if there is none."""
-    at = F.instr(url, "://")
-    return F.when(at > 0, F.substr(url, at + 3)).otherwise("")
+def _part(url: Column, pattern: str) -> Column:
+    """What ``pattern`` captures after the first ``://``; empty if there is none."""
+    return F.coalesce(F.regexp_extract(url, "://" + pattern, 1), F.lit(""))
 
 
 def host(url: Column) -> Column:
-    return F.coalesce(_lower(F.regexp_extract(_rest(url), r"^[^/?#]*", 0)), F.lit(""))
+    return _lower(_part(url, r"([^/?#]*)"))
 
 
 def path(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
+    return _part(url, r"[^/?#]*([^?#]*)")
 
 
 def fixed_rule(host_col: Column, path_col: Column, rules: tuple[HostRule, ...]) -> tuple[Column, Column]:
@@ -79,32 +78,33 @@ def fixed_rule(host_col: Column, path_col: Column, rules: tuple[HostRule, ...])
     return text, verdict
 
 
-def tokens(url: Column) -> Column:
-    """Distinct tokens of a url; empty without a host."""
-    rest, name, way = _rest(url), host(url), path(url)
-    labels = F.split(F.regexp_replace(name, r":[0-9]*$", ""), r"\.")
-    parts = F.filter(F.split(way, "/"), lambda s: s != "")
-    shape = lambda s: F.regexp_replace(s, r"[0-9]+", "0")
-    query = F.split(F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1), "[&;]")
-    suffixes = F.transform(labels, lambda _, i: F.concat(F.lit("domain="), F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")))
+def with_tokens(urls: DataFrame) -> DataFrame:
+    """``urls`` with ``tokens``: the distinct tokens of ``url``; empty without a host."""
+    url, shape = F.col("url"), lambda s: F.regexp_replace(s, r"[0-9]+", "0")
+    # in steps, so that each part is cut out once and not again in every place that uses it
+    cut = urls.withColumns({"_host": host(url), "_path": path(url), "_query": _part(url, r"[^?#]*\?([^#]*)"), "_fragment": _part(url, r"[^#]*#(.*)")})
+    named = lambda c: F.filter(F.split(*c), lambda s: s != "")
+    cut = cut.withColumns({"_labels": named((F.regexp_replace("_host", r":[0-9]*$", ""), r"\.")), "_parts": named((F.col("_path"), "/")), "_query": named((F.col("_query"), "[&;]"))})
+    labels = F.col("_labels")
     found = F.concat(
         F.array(F.concat(F.lit("scheme="), _lower(F.regexp_extract(url, r"^([^:]*)://", 1)))),
-        suffixes,
+        F.transform(labels, lambda _, i: F.concat(F.lit("domain="), F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))),
         F.transform(labels, lambda s: F.concat(F.lit("label."), shape(s))),
-        F.transform(parts, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), shape(s))),
-        F.filter(F.array(F.regexp_extract(way, r"(\.[A-Za-z0-9]{1,8})$", 1)), lambda s: s != ""),
-        F.transform(F.filter(query, lambda s: s != ""), lambda s: F.concat(F.lit("query="), shape(s))),
-        F.filter(F.array(F.concat(F.lit("fragment="), shape(F.regexp_extract(rest, r"#(.*)$", 1)))), lambda s: s != "fragment="),
+        F.transform("_parts", lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), shape(s))),
+        F.filter(F.array(F.regexp_extract("_path", r"(\.[A-Za-z0-9]{1,8})$", 1)), lambda s: s != ""),
+        F.transform("_query", lambda s: F.concat(F.lit("query="), shape(s))),
+        F.filter(F.array(F.concat(F.lit("fragment="), shape(F.col("_fragment")))), lambda s: s != "fragment="),
     )
-    return F.when(name != "", F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+    some = F.when(F.col("_host") != "", F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+    return cut.withColumn("tokens", some).drop("_host", "_path", "_query", "_fragment", "_labels", "_parts")
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """``rule, tokens, verdict, support, confidence`` from ``url, verdict``."""
     spark = labelled.sparkSession
     schema = "rule string, tokens array<string>, verdict string, support bigint, confidence double"
-    rows = labelled.where(F.col("verdict").isin(ALLOW, BLOCK) & (host(F.col("url")) != ""))
-    rows = stored(rows.select(F.array_append(tokens(F.col("url")), F.concat(F.lit(_LABEL), F.col("verdict"))).alias("items")), "transactions")
+    rows = with_tokens(labelled.select("url", "verdict").where(F.col("verdict").isin(ALLOW, BLOCK))).where(F.size("tokens") > 0)
+    rows = stored(rows.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("verdict"))).alias("items")), "transactions")
     if rows.limit(1).count() == 0:
         return spark.createDataFrame([], schema)
     # FP-growth over the labelled urls; only token sets of a rule's length are kept
@@ -134,7 +134,7 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     index = rules.select("rule", "verdict", "support", "confidence", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
     index = stored(index, "index")
     small = index.count() <= BROADCAST_ROWS
-    hits = urls.select("url", F.explode(tokens(F.col("url"))).alias("token")).join(F.broadcast(index) if small else index, "token")
+    hits = with_tokens(urls.select("url")).select("url", F.explode("tokens").alias("token")).join(F.broadcast(index) if small else index, "token")
     fits = hits.groupBy("url", "rule", "verdict").agg(F.count("*").alias("hits"), F.first("size").alias("size"), F.first("support").alias("support"), F.first("confidence").alias("confidence"))
     best = fits.where("hits = size").groupBy("url").agg(F.max(F.struct("confidence", "support", "size", "rule", "verdict")).alias("best"))
     return best.select("url", F.col("best.rule").alias("mined_rule"), F.col("best.verdict").alias("mined_verdict"), F.col("best.confidence").alias("confidence"))

@@ -247,7 +247,7 @@ def test_mined_url_rules_match_brute_force(spark):
     rows += [(None, "block"), ("x", "allow"), ("http://a.b/", None)]
     labelled = spark.createDataFrame(rows, "url string, verdict string")
     rules = url_rules.mine(labelled, 0.02, 0.8)
-    sets = [(set(r["t"]), r["verdict"]) for r in labelled.select(url_rules.tokens(labelled["url"]).alias("t"), "verdict").collect() if r["t"] and r["verdict"]]
+    sets = [(set(r["t"]), r["verdict"]) for r in url_rules.with_tokens(labelled).selectExpr("tokens as t", "verdict").collect() if r["t"] and r["verdict"]]
     found = rules.collect()
     assert found and any("path0=casino" in r["tokens"] for r in found)
     for r in found:
@@ -255,7 +255,7 @@ def test_mined_url_rules_match_brute_force(spark):
         assert r["support"] == have.count(r["verdict"]) >= 0.02 * len(sets) and r["confidence"] == pytest.approx(have.count(r["verdict"]) / len(have))
         assert r["confidence"] >= 0.8
     pages = labelled.select("url")
-    for r in url_rules.judge(pages, rules).select("url", url_rules.tokens(pages["url"]).alias("t"), "verdict", "mined_rule").collect():
+    for r in url_rules.with_tokens(url_rules.judge(pages, rules)).selectExpr("url", "tokens as t", "verdict", "mined_rule").collect():
         fits = [x for x in found if set(x["tokens"]) <= set(r["t"] or [])]
         best = max(fits, key=lambda x: (x["confidence"], x["support"], len(x["tokens"]), x["rule"], x["verdict"]), default=None)
         assert (r["mined_rule"], r["verdict"]) == ((best["rule"], best["verdict"]) if best else (None, "allow"))

@@ -3,12 +3,13 @@
 Every url becomes a set of tokens: scheme, each domain suffix of its host,
 each label, path segments with their place, the shape of numbers, extension,
 query keys and pairs, fragment. Labelled urls are transactions of these tokens
-and their label. Frequent token sets with a label give rules; a rule stays
-when its support and confidence reach the thresholds and no rule on a part of
-its tokens is as confident. Urls are matched by an inverted index from token
-to rule: a rule fits when all its tokens were hit. The most confident fitting
-rule decides (then the larger support, the longer rule, the rule text); no
-rule means allow.
+and their label. Frequent token sets with the label block give rules; a rule
+stays when its support and confidence reach the thresholds and no rule on a
+part of its tokens is as confident. (What no rule blocks is allowed, so rules
+for allow would say nothing.) Urls are matched by an inverted index that lists
+each rule under its rarest token; the rules found there fit when the url has
+their other tokens too. The most confident fitting rule decides (then the
+larger support, the longer rule, the rule text).
 
 Fixed host and path rules go before: the longest that fits.
 
@@ -100,9 +101,9 @@ def with_tokens(urls: DataFrame) -> DataFrame:
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """``rule, tokens, verdict, support, confidence`` from ``url, verdict``."""
+    """``rule, tokens, rarest, verdict, support, confidence`` from ``url, verdict``."""
     spark = labelled.sparkSession
-    schema = "rule string, tokens array<string>, verdict string, support bigint, confidence double"
+    schema = "rule string, tokens array<string>, rarest string, verdict string, support bigint, confidence double"
     rows = with_tokens(labelled.select("url", "verdict").where(F.col("verdict").isin(ALLOW, BLOCK))).where(F.size("tokens") > 0)
     rows = stored(rows.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("verdict"))).alias("items")), "transactions")
     if rows.limit(1).count() == 0:
@@ -117,7 +118,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     ).where(F.size("tokens") <= max_tokens)
     named = stored(named.withColumn("rule", F.array_join("tokens", " ")), "itemsets")
     whole = named.where("label is null").select("rule", F.col("freq").alias("all"))
-    rules = named.where("label is not null and size(tokens) > 0").join(whole, "rule")
+    rules = named.where((F.col("label") == _LABEL + BLOCK) & (F.size("tokens") > 0)).join(whole, "rule")
     rules = rules.select("rule", "tokens", F.substr("label", F.lit(len(_LABEL) + 1)).alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("all")).alias("confidence"))
     rules = stored(rules.where(F.col("confidence") >= min_confidence), "rules")
     # a rule is superfluous when leaving out one of its tokens, or all but one, loses no confidence
@@ -126,17 +127,20 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     shorter = rules.where(n > 1).select("rule", "verdict", "confidence", F.explode(F.array_union(less, F.col("tokens"))).alias("part"))
     better = rules.select(F.col("rule").alias("part"), "verdict", F.col("confidence").alias("of_part"))
     superfluous = shorter.join(better, ["part", "verdict"]).where("of_part >= confidence").select("rule", "verdict").distinct()
-    return stored(rules.join(superfluous, ["rule", "verdict"], "left_anti").select("rule", "tokens", "verdict", "support", "confidence"), "pruned")
+    kept = rules.join(superfluous, ["rule", "verdict"], "left_anti")
+    single = named.where("label is null and size(tokens) = 1").select(F.col("tokens")[0].alias("token"), F.col("freq").alias("times"))
+    each = kept.select("rule", F.explode("tokens").alias("token")).join(single, "token")
+    rarest = each.groupBy("rule").agg(F.min(F.struct("times", "token"))["token"].alias("rarest"))
+    return stored(kept.join(rarest, "rule").select("rule", "tokens", "rarest", "verdict", "support", "confidence"), "pruned")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``url, mined_rule, mined_verdict, confidence`` for the distinct urls that a rule fits."""
-    index = rules.select("rule", "verdict", "support", "confidence", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
-    index = stored(index, "index")
+    index = rules.withColumnRenamed("tokens", "needed")
     small = index.count() <= BROADCAST_ROWS
-    hits = with_tokens(urls.select("url")).select("url", F.explode("tokens").alias("token")).join(F.broadcast(index) if small else index, "token")
-    fits = hits.groupBy("url", "rule", "verdict").agg(F.count("*").alias("hits"), F.first("size").alias("size"), F.first("support").alias("support"), F.first("confidence").alias("confidence"))
-    best = fits.where("hits = size").groupBy("url").agg(F.max(F.struct("confidence", "support", "size", "rule", "verdict")).alias("best"))
+    own = with_tokens(urls.select("url")).select("url", "tokens", F.explode("tokens").alias("rarest"))
+    hits = own.join(F.broadcast(index) if small else index, "rarest").where(F.size(F.array_except("needed", "tokens")) == 0)
+    best = hits.groupBy("url").agg(F.max(F.struct("confidence", "support", F.size("needed").alias("size"), "rule", "verdict")).alias("best"))
     return best.select("url", F.col("best.rule").alias("mined_rule"), F.col("best.verdict").alias("mined_verdict"), F.col("best.confidence").alias("confidence"))
 
 

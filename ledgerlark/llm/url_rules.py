@@ -3,13 +3,13 @@
 Every url becomes a set of tokens: scheme, each domain suffix of its host,
 each label, path segments with their place, the shape of numbers, extension,
 query keys and pairs, fragment. Labelled urls are transactions of these tokens
-and their label. Frequent token sets with the label block give rules; a rule
-stays when its support and confidence reach the thresholds and no rule on a
-part of its tokens is as confident. (What no rule blocks is allowed, so rules
-for allow would say nothing.) Urls are matched by an inverted index that lists
-each rule under its rarest token; the rules found there fit when the url has
-their other tokens too. The most confident fitting rule decides (then the
-larger support, the longer rule, the rule text).
+and their label. Frequent token sets with a label give rules; a rule stays
+when its support and confidence reach the thresholds and no rule for the same
+verdict on a part of its tokens is as confident. Urls are matched by an
+inverted index that lists each rule under its rarest token; the rules found
+there fit when the url has their other tokens too. The most confident fitting
+rule decides (then the larger support, the longer rule, the rule text), so an
+allow rule can overrule a block rule; no rule means allow.
 
 Fixed host and path rules go before: the longest that fits.
 
@@ -118,7 +118,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     ).where(F.size("tokens") <= max_tokens)
     named = stored(named.withColumn("rule", F.array_join("tokens", " ")), "itemsets")
     whole = named.where("label is null").select("rule", F.col("freq").alias("all"))
-    rules = named.where((F.col("label") == _LABEL + BLOCK) & (F.size("tokens") > 0)).join(whole, "rule")
+    rules = named.where("label is not null and size(tokens) > 0").join(whole, "rule")
     rules = rules.select("rule", "tokens", F.substr("label", F.lit(len(_LABEL) + 1)).alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("all")).alias("confidence"))
     rules = stored(rules.where(F.col("confidence") >= min_confidence), "rules")
     # a rule is superfluous when leaving out one of its tokens, or all but one, loses no confidence
@@ -129,7 +129,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     superfluous = shorter.join(better, ["part", "verdict"]).where("of_part >= confidence").select("rule", "verdict").distinct()
     kept = rules.join(superfluous, ["rule", "verdict"], "left_anti")
     single = named.where("label is null and size(tokens) = 1").select(F.col("tokens")[0].alias("token"), F.col("freq").alias("times"))
-    each = kept.select("rule", F.explode("tokens").alias("token")).join(single, "token")
+    each = kept.select("rule", F.explode("tokens").alias("token")).distinct().join(single, "token")
     rarest = each.groupBy("rule").agg(F.min(F.struct("times", "token"))["token"].alias("rarest"))
     return stored(kept.join(rarest, "rule").select("rule", "tokens", "rarest", "verdict", "support", "confidence"), "pruned")
 

@@ -31,8 +31,6 @@ from ledgerlark.llm.common import stored
 
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
-#: Tokens of a rule at most; FP-growth is given no longer patterns to count.
-MAX_TOKENS = 3
 #: Index rows that are broadcast at most; a larger index is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -56,6 +54,10 @@ def _lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def _shape(c: Column) -> Column:
+    return F.regexp_replace(c, r"[0-9]+", "0")
+
+
 def _part(url: Column, pattern: str) -> Column:
     """What ``pattern`` captures after the first ``://``; empty if there is none."""
     return F.coalesce(F.regexp_extract(url, "://" + pattern, 1), F.lit(""))
@@ -81,7 +83,7 @@ def fixed_rule(host_col: Column, path_col: Column, rules: tuple[HostRule, ...])
 
 def with_tokens(urls: DataFrame) -> DataFrame:
     """``urls`` with ``tokens``: the distinct tokens of ``url``; empty without a host."""
-    url, shape = F.col("url"), lambda s: F.regexp_replace(s, r"[0-9]+", "0")
+    url, shape = F.col("url"), _shape
     # in steps, so that each part is cut out once and not again in every place that uses it
     cut = urls.withColumns({"_host": host(url), "_path": path(url), "_query": _part(url, r"[^?#]*\?([^#]*)"), "_fragment": _part(url, r"[^#]*#(.*)")})
     named = lambda c: F.filter(F.split(*c), lambda s: s != "")
@@ -100,7 +102,36 @@ def with_tokens(urls: DataFrame) -> DataFrame:
     return cut.withColumn("tokens", some).drop("_host", "_path", "_query", "_fragment", "_labels", "_parts")
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+def _implied(tokens: Column) -> Column:
+    """Whether a token of the set follows from another by the way tokens are made: a domain brings its suffixes and labels."""
+    name = lambda d: F.substr(d, F.lit(len("domain=") + 1))
+    label = lambda d: F.transform(F.split(name(d), r"\."), lambda s: F.concat(F.lit("label."), _shape(s)))
+    suffix = lambda d, t: t.startswith("domain=") & d.endswith(F.concat(F.lit("."), name(t)))
+    domains = F.filter(tokens, lambda t: t.startswith("domain="))
+    return F.exists(domains, lambda d: F.arrays_overlap(tokens, label(d)) | F.exists(domains, lambda t: suffix(d, t)))
+
+
+def _unrepeated(rules: DataFrame) -> DataFrame:
+    """The rows of ``rules`` (``tokens, verdict, confidence``; with each all its parts) that no part of the tokens equals in confidence.
+
+    Level by level: the best confidence of any part is that of the parts with one token less, or of their parts.
+    """
+    longest = rules.agg(F.coalesce(F.max(F.size("tokens")), F.lit(0))).first()[0]
+    less = F.transform("tokens", lambda t: F.array_remove("tokens", t))
+    out = rules.where(F.size("tokens") == 1)
+    best = out.withColumn("best", F.col("confidence"))
+    for n in range(2, longest + 1):
+        own = rules.where(F.size("tokens") == n)
+        parts = own.select("tokens", "verdict", F.explode(less).alias("part"))
+        of_parts = parts.join(best.select(F.col("tokens").alias("part"), "verdict", "best"), ["part", "verdict"])
+        of_parts = of_parts.groupBy("tokens", "verdict").agg(F.max("best").alias("of_part"))
+        level = stored(own.join(of_parts, ["tokens", "verdict"]), "level")
+        best = level.withColumn("best", F.greatest("confidence", "of_part"))
+        out = out.unionByName(level.where("confidence > of_part").drop("of_part"))
+    return out
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``rule, tokens, rarest, verdict, support, confidence`` from ``url, verdict``."""
     spark = labelled.sparkSession
     schema = "rule string, tokens array<string>, rarest string, verdict string, support bigint, confidence double"
@@ -108,30 +139,23 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     rows = stored(rows.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("verdict"))).alias("items")), "transactions")
     if rows.limit(1).count() == 0:
         return spark.createDataFrame([], schema)
-    # FP-growth over the labelled urls; only token sets of a rule's length are kept
     frequent = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows).freqItemsets
     is_label = lambda x: x.startswith(_LABEL)
     named = frequent.select(
         F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),
         F.get(F.filter("items", is_label), F.lit(0)).alias("label"),
         F.col("freq"),
-    ).where(F.size("tokens") <= max_tokens)
-    named = stored(named.withColumn("rule", F.array_join("tokens", " ")), "itemsets")
-    whole = named.where("label is null").select("rule", F.col("freq").alias("all"))
-    rules = named.where("label is not null and size(tokens) > 0").join(whole, "rule")
-    rules = rules.select("rule", "tokens", F.substr("label", F.lit(len(_LABEL) + 1)).alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("all")).alias("confidence"))
-    rules = stored(rules.where(F.col("confidence") >= min_confidence), "rules")
-    # a rule is superfluous when leaving out one of its tokens, or all but one, loses no confidence
-    n = F.size("tokens")
-    less = F.transform(F.sequence(F.lit(1), n), lambda k: F.array_join(F.filter("tokens", lambda t: t != F.element_at(F.col("tokens"), k)), " "))
-    shorter = rules.where(n > 1).select("rule", "verdict", "confidence", F.explode(F.array_union(less, F.col("tokens"))).alias("part"))
-    better = rules.select(F.col("rule").alias("part"), "verdict", F.col("confidence").alias("of_part"))
-    superfluous = shorter.join(better, ["part", "verdict"]).where("of_part >= confidence").select("rule", "verdict").distinct()
-    kept = rules.join(superfluous, ["rule", "verdict"], "left_anti")
+    )
+    # a set with an implied token is as frequent, with and without a label, as the set without it: its rule is superfluous
+    named = stored(named.where((F.size("tokens") > 0) & ~_implied(F.col("tokens"))), "itemsets")
+    whole = named.where("label is null").select("tokens", F.col("freq").alias("all"))
+    rules = named.where("label is not null").join(whole, "tokens")
+    rules = rules.select("tokens", F.substr("label", F.lit(len(_LABEL) + 1)).alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("all")).alias("confidence"))
+    kept = stored(_unrepeated(stored(rules, "rules")).where(F.col("confidence") >= min_confidence), "unrepeated")
     single = named.where("label is null and size(tokens) = 1").select(F.col("tokens")[0].alias("token"), F.col("freq").alias("times"))
-    each = kept.select("rule", F.explode("tokens").alias("token")).distinct().join(single, "token")
-    rarest = each.groupBy("rule").agg(F.min(F.struct("times", "token"))["token"].alias("rarest"))
-    return stored(kept.join(rarest, "rule").select("rule", "tokens", "rarest", "verdict", "support", "confidence"), "pruned")
+    each = kept.select("tokens", F.explode("tokens").alias("token")).distinct().join(single, "token")
+    rarest = each.groupBy("tokens").agg(F.min(F.struct("times", "token"))["token"].alias("rarest"))
+    return stored(kept.join(rarest, "tokens").select(F.array_join("tokens", " ").alias("rule"), "tokens", "rarest", "verdict", "support", "confidence"), "pruned")
 
 
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+from itertools import combinations, product
+
 import pytest
 
 from ledgerlark.llm import url_rules
@@ -29,3 +33,36 @@ def test_rules_for_both_verdicts_on_the_same_tokens(spark):
     got = url_rules.mine(labelled, 0.05, 0.4).collect()
     assert len({(r["rule"], r["verdict"]) for r in got}) == len(got)
     assert {r["verdict"] for r in got if r["rule"] == "path0=x"} == {"allow", "block"}
+
+
+def test_rule_of_four_tokens(spark):
+    """Only scheme, host, path and query together tell a blocked page."""
+    ways = product(("http", "https"), ("one.site.org", "two.site.org"), ("x", "y"), ("", "?ref=x"), range(3))
+    bad = ("https", "one.site.org", "x", "?ref=x")
+    rows = [(f"{s}://{h}/{p}/{i}{q}", "block" if (s, h, p, q) == bad else "allow") for s, h, p, q, i in ways]
+    labelled = spark.createDataFrame(rows, "url string, verdict string")
+    rules = url_rules.mine(labelled, 0.05, 0.6)
+    blocked = [r for r in rules.collect() if r["verdict"] == "block"]
+    assert blocked and all(len(r["tokens"]) == 4 and r["confidence"] == 1 for r in blocked)
+    assert {(r["url"], r["verdict"]) for r in url_rules.judge(labelled.select("url"), rules).collect()} == set(rows)
+
+
+def test_rules_are_those_of_all_token_sets(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        host = rng.choice(["ads1.site.org:80", "ads2.org.org", "cdn.site.org"])
+        way = rng.choice(["x", "y.html"])
+        query = rng.choice(["", "?r=1"])
+        bad = rng.random() < 0.3 + 0.3 * host.startswith("ads") + 0.2 * (way == "x") - 0.3 * (query == "" and way == "x")
+        rows.append((f"{rng.choice(['http', 'https'])}://{host}/{way}{query}", "block" if bad else "allow"))
+    labelled = spark.createDataFrame(rows, "url string, verdict string")
+    times = Counter()
+    for r in url_rules.with_tokens(labelled).collect():
+        for n in range(1, len(r["tokens"]) + 1):
+            times.update((s, v) for s in combinations(sorted(r["tokens"]), n) for v in (r["verdict"], None))
+    sure = {(s, v): n / times[s, None] for (s, v), n in times.items() if v and n >= 0.02 * len(rows)}
+    parts = lambda s: (p for n in range(1, len(s)) for p in combinations(s, n))
+    want = {(s, v, times[s, v], c) for (s, v), c in sure.items() if c >= 0.55 and all(sure[p, v] < c for p in parts(s))}
+    got = {(tuple(r["tokens"]), r["verdict"], r["support"], r["confidence"]) for r in url_rules.mine(labelled, 0.02, 0.55).collect()}
+    assert got == want and max(len(s) for s, *_ in want) >= 4

@@ -3,8 +3,9 @@
 Plain forms are matched on the text itself. For disguised forms the text goes
 over a tape whose characters know the source stretch they stand for, through
 transducers in turn: look-alike characters and full-width forms to ASCII,
-zero-width characters to nothing, spelled digits to digits, "at" and "dot" in
-brackets or between the parts of an address to their signs. The same patterns
+zero-width characters to nothing, spelled digits to digits, bracketed or spelled
+dots between digits and "plus" before them to their signs, "at" and "dot" in
+brackets or between the parts of an address to theirs. The same patterns
 run over the tape, and what they find on rewritten characters is mapped back
 to code-point offsets of the source.
 
@@ -92,8 +93,10 @@ _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 els
 _HINT_WORDS = frozenset(w.encode() for w in (*DIGITS, *SIGNS) if w not in ("plus", "point"))
 _HINT_AT = tuple(b + g + a for b in "[({<" for g in ("", " ") for a in ("at", "At", "AT", "@", "arroba"))
 _SPELLED_PAIR = re.compile(rf"\b(?:{_DOT})\b|\b(?:{_WORDS})\b\W+(?:{_WORDS}|[0-9]|dot|point)\b", re.I)
+_HINT_SIGN = re.compile(rf"[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]|\bplus\W{{1,3}}[0-9]|[0-9]\s+(?:{_DOT})\s+[0-9]", re.I)
 #: Seven or more digits of which some are spelled, with signs and separators between them.
-_SPELLED = re.compile(rf"(?:\bplus\W{{1,3}})?\b(?:{_WORDS}|[0-9])(?:[\s,-]{{0,3}}(?:\b(?:{_WORDS}|{_DOT})\b|[0-9.])){{6,}}", re.I)
+_BRACKETED = rf"[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]"
+_SPELLED = re.compile(rf"(?:\bplus\W{{1,3}})?\b(?:{_WORDS}|[0-9])(?:[\s,-]{{0,3}}(?:\b(?:{_WORDS}|{_DOT})\b|[0-9.]|{_BRACKETED})){{6,}}", re.I)
 _TOKEN = re.compile(rf"\b(?:{_WORDS}|plus|{_DOT})\b|[0-9.+]", re.I)
 #: Last labels that end an address written without brackets.
 _TOP = "com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|me|tv|eu|uk|us|de|fr|es|it|nl|ch|be|ca|au|jp|cn|br|mx|test|example|invalid"
@@ -107,6 +110,9 @@ _AT = re.compile(
     re.I,
 )
 _POINT_AFTER = re.compile(rf"(?<=[A-Za-z0-9-]){_POINT}(?={_HOST})", re.I)
+#: Four groups of digits with dots of any kind between them; "plus" before what may be a phone number.
+_DOTTED = re.compile(rf"[0-9]+(?:(?:\.|{_POINT})[0-9]+){{3}}", re.I)
+_PLUS = re.compile(r"\bplus\W{1,3}(?=[0-9][\x20().0-9-]+[0-9])", re.I)
 _ADDRESS = re.compile(rf"(?:{_NAME}{_POINT})*{_NAME}@{_HOST}(?:(?:\.|{_POINT}){_HOST})+", re.I)
 
 
@@ -145,7 +151,7 @@ class Tape:
 
 def _spelled(m: re.Match[str]) -> list[tuple[str, int, int]]:
     if not re.search(_WORDS, m.group(), re.I):
-        return [(m.group()[k], m.start() + k, m.start() + k + 1) for k in range(len(m.group()))]
+        return _points(m)
     pieces = []
     for t in _TOKEN.finditer(m.string, m.start(), m.end()):
         word = t.group().lower()
@@ -163,7 +169,7 @@ def _points(m: re.Match[str]) -> list[tuple[str, int, int]]:
 
 def _hinted(text: str) -> bool:
     """Whether the text has what a spelled or bracketed disguise needs."""
-    if any(h in text for h in _HINT_AT):
+    if any(h in text for h in _HINT_AT) or _HINT_SIGN.search(text):
         return True
     return not _HINT_WORDS.isdisjoint(text.encode().translate(_LETTERS).split()) and _SPELLED_PAIR.search(text) is not None
 
@@ -175,6 +181,8 @@ def normalised(text: str) -> Tape:
         tape = tape.rewritten(_UNUSUAL.finditer(tape.text), lambda m: [(_ascii(m.group()), m.start(), m.end())])
     if _hinted(tape.text):
         tape = tape.rewritten(_SPELLED.finditer(tape.text), _spelled)
+        tape = tape.rewritten(_DOTTED.finditer(tape.text), _points)
+        tape = tape.rewritten(_PLUS.finditer(tape.text), lambda m: [("+", m.start(), m.end())])
         tape = tape.rewritten(_AT.finditer(tape.text), lambda m: [("@", m.start(), m.end())])
         tape = tape.rewritten(_ADDRESS.finditer(tape.text), _points)
     return tape

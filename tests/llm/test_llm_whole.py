@@ -8,7 +8,7 @@ from itertools import combinations, product
 
 import pytest
 
-from ledgerlark.llm import url_rules
+from ledgerlark.llm import pii, url_rules
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +66,31 @@ def test_rules_are_those_of_all_token_sets(spark):
     want = {(s, v, times[s, v], c) for (s, v), c in sure.items() if c >= 0.55 and all(sure[p, v] < c for p in parts(s))}
     got = {(tuple(r["tokens"]), r["verdict"], r["support"], r["confidence"]) for r in url_rules.mine(labelled, 0.02, 0.55).collect()}
     assert got == want and max(len(s) for s, *_ in want) >= 4
+
+
+def _spans(text, **options):
+    plain = pii.plain_spans(text)
+    return [(text[a:b], kind) for a, b, kind in pii._listed(plain + pii.disguised_spans(text, plain, **options))]
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("192[.]168[.]1[.]1", "ip"),
+        ("192(dot)168(dot)1(dot)1", "ip"),
+        ("192 dot 168 dot 1 dot 1", "ip"),
+        ("192 point 168 point 1 point 1", "ip"),
+        ("192.168[.]1.1", "ip"),
+        ("one nine two (dot) one six eight (dot) one (dot) one", "ip"),
+        ("plus 44 20 7946 0958", "phone"),
+        ("plus 44 (0)20 7946 0958", "phone"),
+        ("plus 1 dot 555 dot 1234567", "phone"),
+    ],
+)
+def test_disguised_dots_and_plus(text, kind):
+    assert _spans(f"see {text}, ok") == [(text, kind)]
+
+
+def test_dots_between_other_numbers_are_no_address():
+    for text in ("300 dot 1 dot 1 dot 1", "1 dot 2 dot 3", "version 1 point 2 and 5 plus 3 is 8"):
+        assert _spans(text) == []

@@ -85,15 +85,17 @@ def plain_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 _NUMBER = re.compile("[0-9]")
-_UNUSUAL = re.compile("[^\x00-\xff]|[\xad²³·¹]")
+_UNUSUAL = re.compile("[^\x00-\xff]|[\xa0\xad²³·¹ªº]")
 _WORDS = "|".join(sorted(DIGITS, key=lambda w: (-len(w), w)))
 _DOT = "dot|point|punkt|punto"
 #: Letters of a text in lower case and the rest as spaces, in UTF-8 bytes, to look its words up quickly.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
-_HINT_WORDS = frozenset(w.encode() for w in (*DIGITS, *SIGNS) if w not in ("plus", "point"))
-_HINT_AT = tuple(b + g + a for b in "[({<" for g in ("", " ") for a in ("at", "At", "AT", "@", "arroba"))
-_SPELLED_PAIR = re.compile(rf"\b(?:{_DOT})\b|\b(?:{_WORDS})\b\W+(?:{_WORDS}|[0-9]|dot|point)\b", re.I)
-_HINT_SIGN = re.compile(rf"[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]|\bplus\W{{1,3}}[0-9]|[0-9]\s+(?:{_DOT})\s+[0-9]", re.I)
+_LETTER_RUN = re.compile(r"[^\W\d_]+")
+_HINT_WORDS = frozenset(w.encode() for w in (*DIGITS, *SIGNS))
+_HINT_DOTS = frozenset(w.encode() for w in _DOT.split("|"))
+_HINT_BRACKET = re.compile(rf"[\[({{<]\s*(?:at|@|arroba|{_DOT}|\.)\s*[\])}}>]", re.I)
+#: A spelled digit or sign with a digit or another of them as the next word, on either side.
+_HINT_PAIR = re.compile(rf"\b(?:{_WORDS}|{_DOT}|plus)\b\W*(?:(?:{_WORDS}|{_DOT})\b|[0-9])|\b(?:{_WORDS})[0-9]|[0-9]\W*\b(?:{_WORDS}|{_DOT})\b", re.I)
 #: Seven or more digits of which some are spelled, with signs and separators between them.
 _BRACKETED = rf"[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]"
 _SPELLED = re.compile(rf"(?:\bplus\W{{1,3}})?\b(?:{_WORDS}|[0-9])(?:[\s,-]{{0,3}}(?:\b(?:{_WORDS}|{_DOT})\b|[0-9.]|{_BRACKETED})){{6,}}", re.I)
@@ -168,31 +170,35 @@ def _points(m: re.Match[str]) -> list[tuple[str, int, int]]:
 
 
 def _hinted(text: str) -> bool:
-    """Whether the text has what a spelled or bracketed disguise needs."""
-    if any(h in text for h in _HINT_AT) or _HINT_SIGN.search(text):
+    """Whether the text has what a spelled or bracketed disguise needs; true wherever the transducers after it show a new span."""
+    if _HINT_BRACKET.search(text):
         return True
-    return not _HINT_WORDS.isdisjoint(text.encode().translate(_LETTERS).split()) and _SPELLED_PAIR.search(text) is not None
+    words = set(text.encode().translate(_LETTERS).split()) if text.isascii() else {w.encode() for w in _LETTER_RUN.findall(text.lower())}
+    if not _HINT_WORDS.isdisjoint(words) and _HINT_PAIR.search(text):
+        return True
+    return not _HINT_DOTS.isdisjoint(words) and ("@" in text or b"at" in words and _AT.search(text) is not None)
 
 
-def normalised(text: str) -> Tape:
-    """The tape after all transducers."""
+def normalised(text: str, gated: bool = True) -> Tape:
+    """The tape after all transducers; ``gated`` leaves out those for which :func:`_hinted` sees no need."""
     tape = Tape(text)
     if not text.isascii():
         tape = tape.rewritten(_UNUSUAL.finditer(tape.text), lambda m: [(_ascii(m.group()), m.start(), m.end())])
-    if _hinted(tape.text):
+    if not gated or _hinted(tape.text):
         tape = tape.rewritten(_SPELLED.finditer(tape.text), _spelled)
         tape = tape.rewritten(_DOTTED.finditer(tape.text), _points)
         tape = tape.rewritten(_PLUS.finditer(tape.text), lambda m: [("+", m.start(), m.end())])
         tape = tape.rewritten(_AT.finditer(tape.text), lambda m: [("@", m.start(), m.end())])
-        tape = tape.rewritten(_ADDRESS.finditer(tape.text), _points)
+        if "@" in tape.text:
+            tape = tape.rewritten(_ADDRESS.finditer(tape.text), _points)
     return tape
 
 
-def disguised_spans(text: str, plain: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+def disguised_spans(text: str, plain: list[tuple[int, int, str]], gated: bool = True) -> list[tuple[int, int, str]]:
     """(start, end, kind) of what only the normalised text shows."""
-    if (text.isascii() or not _UNUSUAL.search(text)) and not _hinted(text):
+    if gated and (text.isascii() or not _UNUSUAL.search(text)) and not _hinted(text):
         return []
-    tape = normalised(text)
+    tape = normalised(text, gated)
     if tape.text == text:
         return []
     taken = {k: [s for s in plain if s[2] == k] for k in KINDS}

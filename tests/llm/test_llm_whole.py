@@ -94,3 +94,33 @@ def test_disguised_dots_and_plus(text, kind):
 def test_dots_between_other_numbers_are_no_address():
     for text in ("300 dot 1 dot 1 dot 1", "1 dot 2 dot 3", "version 1 point 2 and 5 plus 3 is 8"):
         assert _spans(text) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("+1 555 five 123 4567", "phone"),
+        ("4111 1111 1111 111 one", "card"),
+        ("4111 1111 one 111 1111", "card"),
+        ("“one” “four 111 1111 1111 1111", "card"),
+        ("4111\xa01111\xa01111\xa01111", "card"),
+        ("jane [  at  ] example [  dot ] com", "email"),
+        ("jane@example[.]com", "email"),
+        ("jane at example point com", "email"),
+        ("jªne@exºmple.com", "email"),
+    ],
+)
+def test_gate_lets_disguises_through(text, kind):
+    got = _spans(f"see {text} ok")
+    assert got == _spans(f"see {text} ok", gated=False) and [k for _, k in got] == [kind] and text.endswith(got[0][0])
+
+
+def test_gate_changes_no_span():
+    parts = "one Two FÜNF ZÉRO oh nine 4111 1111 555 192 1 44 dot point (dot) [.] { punkt } plus + at (at) [  at ] @ jane example com org the . , - ( ) “ — é _ º \xa0 \n".split(" ")
+    rng, found = random.Random(2), 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) + rng.choice([" ", " ", "", "  ", "-", ", "]) for _ in range(rng.randrange(3, 16)))
+        whole = _spans(text, gated=False)
+        assert _spans(text) == whole, text
+        found += len(whole) > len(pii.plain_spans(text))
+    assert found > 50

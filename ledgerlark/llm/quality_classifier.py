@@ -6,9 +6,9 @@ over each chunk, and each filter's largest response in a chunk is kept. The
 mean and the maximum of these over the chunks of a document go through a
 logistic unit to one probability.
 
-The network is fitted in one task on at most ``SAMPLE`` labelled rows per class
-and ``SAMPLE_CHUNKS`` chunks of each (parameters; rows by the hash of their id,
-chunks evenly spread). Scores use every chunk of every text.
+The network is fitted in one task on about ``SAMPLE`` labelled rows per class (a
+parameter; rows by the hash of their id). Training, like scoring, uses every
+chunk of every text, a bounded number of them at a time.
 
 Defined results: a null or empty text is one chunk of padding and gets a score
 like any other; without training rows of both classes every score is their
@@ -31,19 +31,17 @@ from ledgerlark.llm.common import binary_column, ship, slices, stored
 
 CHUNK, OVERLAP = 512, 64
 EMBED, WIDTH, STRIDE, FILTERS = 6, 12, 4, 32
-SAMPLE, SAMPLE_CHUNKS = 1500, 12
+SAMPLE = 1500
 EPOCHS, BATCH, RATE = 12, 32, 3e-3
 #: Chunks in one matrix product.
 _TOGETHER = 64
 _PAD = 256  # a byte value of its own for what lies past the end
 
 
-def chunks(text: bytes, most: int | None = None) -> np.ndarray:
-    """Byte values of each chunk; ``most`` evenly spread ones in training."""
+def chunks(text: bytes) -> np.ndarray:
+    """Byte values of each chunk."""
     step = CHUNK - OVERLAP
     starts = list(range(0, max(1, len(text) - OVERLAP), step))
-    if most and len(starts) > most:
-        starts = [starts[round(i * (len(starts) - 1) / (most - 1))] for i in range(most)]
     out = np.full((len(starts), CHUNK), _PAD, np.int16)
     raw = np.frombuffer(text, np.uint8)
     for k, s in enumerate(starts):
@@ -87,7 +85,8 @@ def _start(rng: np.random.Generator) -> Weights:
 def _slopes(docs: list[np.ndarray], truth: np.ndarray, w: Weights) -> Weights:
     """Gradient of the mean log loss over some documents; it flows through the largest responses alone."""
     every = np.concatenate(docs)
-    raw, at = responses(every, w)
+    spans = [slice(k, k + _TOGETHER) for k in range(0, len(every), _TOGETHER)]
+    raw, at = (np.concatenate(x) for x in zip(*(responses(every[s], w) for s in spans), strict=True))
     top = np.tanh(raw)
     grad = {k: np.zeros_like(v) for k, v in w.items()}
     d_top = np.zeros_like(top)
@@ -104,12 +103,13 @@ def _slopes(docs: list[np.ndarray], truth: np.ndarray, w: Weights) -> Weights:
         begin += len(doc)
     d_raw = d_top * (1 - top**2)
     grad["bias"] = d_raw.sum(0)
-    spots = at[:, :, None] * STRIDE + np.arange(WIDTH)
-    seen = np.take_along_axis(every[:, None, :], spots, 2)  # (chunk, filter, width) bytes under each largest response
-    x = w["embed"][seen].reshape(*at.shape, WIDTH * EMBED)
-    grad["filters"] = np.einsum("cfk,cf->kf", x, d_raw)
-    d_x = (d_raw[:, :, None] * w["filters"].T[None]).reshape(-1, EMBED)
-    np.add.at(grad["embed"], seen.ravel(), d_x)
+    for s in spans:
+        spots = at[s, :, None] * STRIDE + np.arange(WIDTH)
+        seen = np.take_along_axis(every[s, None, :], spots, 2)  # (chunk, filter, width) bytes under each largest response
+        x = w["embed"][seen].reshape(*at[s].shape, WIDTH * EMBED)
+        grad["filters"] += np.einsum("cfk,cf->kf", x, d_raw[s])
+        d_x = (d_raw[s, :, None] * w["filters"].T[None]).reshape(-1, EMBED)
+        np.add.at(grad["embed"], seen.ravel(), d_x)
     return grad
 
 
@@ -117,13 +117,13 @@ def train(texts: list[bytes], truth: list[int], epochs: int = EPOCHS, seed: int
     """Fit the network by Adam on small batches."""
     rng = np.random.default_rng(seed)
     w = _start(rng)
-    docs, y = [chunks(t, SAMPLE_CHUNKS) for t in texts], np.array(truth, np.float32)
+    y = np.array(truth, np.float32)
     mean, square, step = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
     for _ in range(epochs):
-        order = rng.permutation(len(docs))
-        for lot in range(0, len(docs), BATCH):
+        order = rng.permutation(len(texts))
+        for lot in range(0, len(texts), BATCH):
             some = order[lot : lot + BATCH]
-            grad, step = _slopes([docs[i] for i in some], y[some], w), step + 1
+            grad, step = _slopes([chunks(texts[i]) for i in some], y[some], w), step + 1
             for k in w:
                 mean[k] = 0.9 * mean[k] + 0.1 * grad[k]
                 square[k] = 0.99 * square[k] + 0.01 * grad[k] ** 2

@@ -6,9 +6,10 @@ import random
 from collections import Counter
 from itertools import combinations, product
 
+import numpy as np
 import pytest
 
-from ledgerlark.llm import pii, url_rules
+from ledgerlark.llm import pii, quality_classifier, url_rules
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +125,16 @@ def test_gate_changes_no_span():
         assert _spans(text) == whole, text
         found += len(whole) > len(pii.plain_spans(text))
     assert found > 50
+
+
+def test_classifier_learns_from_every_chunk(monkeypatch):
+    texts = [bytes(i % 251 for i in range(n)) for n in (0, 300, 40_000, 9_000)]
+    seen, slopes = [], quality_classifier._slopes
+    monkeypatch.setattr(quality_classifier, "_slopes", lambda docs, *rest: seen.extend(map(len, docs)) or slopes(docs, *rest))
+    w = quality_classifier.train(texts, [0, 1, 0, 1], epochs=1)
+    assert sorted(seen) == sorted(len(quality_classifier.chunks(t)) for t in texts) and max(seen) > 64
+    docs, y = [quality_classifier.chunks(t) for t in texts], np.array([0, 1, 0, 1], np.float32)
+    few = slopes(docs, y, w)
+    monkeypatch.setattr(quality_classifier, "_TOGETHER", 10_000)
+    for k, v in slopes(docs, y, w).items():
+        assert np.allclose(v, few[k], atol=1e-5), k

@@ -19,7 +19,8 @@ Defined results: a null or empty text, or one with fewer than ``min_tile``
 tokens, matches nothing (an item so short is matched as a whole if it has a
 token); items that share an id are compared one by one and the best counts;
 an empty table on either side gives an empty result; repeated documents each
-give their rows; other columns are ignored.
+give their rows, those without a doc_id too; other columns are ignored.
+:func:`without_leaks` judges documents without a doc_id row by row.
 """
 
 from __future__ import annotations
@@ -203,5 +204,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, min_tile: int = MIN_TILE, per
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, min_tile: int = MIN_TILE, percent: int = PERCENT) -> DataFrame:
     """The documents that no item contaminates."""
-    found = stored(matches(docs, benchmark, min_tile, percent).select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    return docs.join(found, F.col("doc_id") == F.col("_id"), "left_anti")
+
+    def clean(rows: DataFrame, key: str) -> DataFrame:
+        found = matches(rows.select(F.col(key).alias("doc_id"), "text"), benchmark, min_tile, percent)
+        found = stored(found.select(F.col("doc_id").alias("_id")).distinct(), "leaks")
+        return rows.join(found, F.col(key) == F.col("_id"), "left_anti")
+
+    named, nameless = clean(docs.where("doc_id is not null"), "doc_id"), docs.where("doc_id is null")
+    if not nameless.limit(1).count():
+        return named
+    keyed = stored(nameless.withColumn("_row", F.monotonically_increasing_id()), "nameless")
+    return named.unionByName(clean(keyed, "_row").drop("_row"))

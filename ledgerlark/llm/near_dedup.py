@@ -22,8 +22,10 @@ costs about n comparisons, and no pair between components is left out.
 
 Defined results: a null, empty or blank text has an empty set and is linked
 with nothing; a text with fewer words than a shingle is one shingle; rows that
-share a doc_id are one node with the links of all; an empty table gives an
-empty result; other columns pass through unchanged.
+share a doc_id are one node with the links of all; a row whose doc_id is null is
+no node: it links nothing, its ``component_id`` is that of the rows with an equal
+set, or null, its ``kept`` is null, and :func:`one_of_each` keeps it; an empty
+table gives an empty result; other columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -305,6 +307,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents of ``docs`` that have the smallest doc_id of their group."""
-    kept = near_duplicates(docs, width, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi")
+    """The documents of ``docs`` that have the smallest doc_id of their group, and those whose doc_id is null."""
+    named = docs.where("doc_id is not null")
+    kept = near_duplicates(named, width, percent).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return named.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").unionByName(docs.where("doc_id is null"))

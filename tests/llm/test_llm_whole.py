@@ -8,8 +8,11 @@ from itertools import combinations, product
 
 import numpy as np
 import pytest
+from llm_cases import prose
+from pyspark.sql import functions as F
 
-from ledgerlark.llm import pii, quality_classifier, url_rules
+import corpus_pipeline
+from ledgerlark.llm import decontamination, near_dedup, pii, quality_classifier, url_rules
 
 
 @pytest.fixture(scope="module")
@@ -138,3 +141,34 @@ def test_classifier_learns_from_every_chunk(monkeypatch):
     monkeypatch.setattr(quality_classifier, "_TOGETHER", 10_000)
     for k, v in slopes(docs, y, w).items():
         assert np.allclose(v, few[k], atol=1e-5), k
+
+
+def test_documents_without_an_id(spark):
+    """Kept by near dedup; kept or dropped by decontamination for what they hold."""
+    rng = random.Random(5)
+    item, clean, other = prose(rng, 40), prose(rng, 300), prose(rng, 300)
+    rows = [(None, clean), (None, other + " " + item), (1, other), (2, other), (3, prose(rng, 200) + " " + item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    key = lambda df: sorted(((r["doc_id"], r["text"]) for r in df.collect()), key=str)
+    left = near_dedup.one_of_each(docs)
+    assert left.columns == docs.columns and key(left) == sorted([r for r in rows if r[0] != 2], key=str)
+    assert key(decontamination.without_leaks(docs, bench)) == sorted([rows[0], rows[2], rows[3]], key=str)
+    assert decontamination.without_leaks(docs.where("doc_id = 3"), bench).count() == 0
+
+
+def test_pipeline_keeps_a_clean_document_without_an_id(spark):
+    """What stays with its doc_id also stays without."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 30")
+
+    def stages(left):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            left = stage(spark, left, sf)
+        return left
+
+    one = stages(docs).agg({"doc_id": "min"}).first()[0]
+    left = stages(docs.withColumn("doc_id", F.when(F.col("doc_id") != one, F.col("doc_id"))))
+    assert left.where("doc_id is null").count() == 1
+    packed = corpus_pipeline.STAGES[-1][1](spark, left, sf)
+    assert packed.where("doc_id is null and start = 0").count() == 1

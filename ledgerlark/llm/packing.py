@@ -9,8 +9,8 @@ by ``shard_pieces`` and by the sequence length, not by the corpus.
 
 Defined results: a null or empty text is one piece holding the end id alone;
 an empty table gives an empty result; repeated rows are packed one by one;
-equal lengths are placed in the order of (doc_id, piece, crc); other input
-columns are ignored.
+pieces are placed in the order of a hash of (doc_id, piece, crc), as the rule is
+made for lengths that come in no order; other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -161,13 +161,14 @@ def pack(pieces: DataFrame, length: int = SEQUENCE, shard_pieces: int = SHARD_PI
     shards = max(1, -(-short.count() // shard_pieces))
 
     def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
+        rows = rows.sort_values(["turn", "doc_id", "piece", "ids_crc32"], kind="stable")
         bins, offsets = place(rows["length"].to_numpy(), length)
         # odd numbers for shared sequences, even ones for whole pieces: no number is used twice
-        return rows.assign(sequence_id=(bins * shards + key[0]) * 2 + 1, offset=offsets).drop(columns="shard")
+        return rows.assign(sequence_id=(bins * shards + key[0]) * 2 + 1, offset=offsets).drop(columns=["shard", "turn"])
 
     result = PIECES + ", sequence_id bigint, offset bigint"
     dealt = short.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
+    dealt = dealt.withColumn("turn", F.xxhash64("ids_crc32", "doc_id", "piece"))
     packed = dealt.groupBy("shard").applyInPandas(fill, result)
     whole = pieces.where(F.col("length") >= length)
     whole = whole.withColumn("sequence_id", F.monotonically_increasing_id() * 2).withColumn("offset", F.lit(0).cast("long"))

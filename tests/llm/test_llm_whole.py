@@ -12,7 +12,7 @@ from llm_cases import prose
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlark.llm import decontamination, near_dedup, pii, quality_classifier, url_rules
+from ledgerlark.llm import decontamination, near_dedup, packing, pii, quality_classifier, url_rules
 
 
 @pytest.fixture(scope="module")
@@ -172,3 +172,11 @@ def test_pipeline_keeps_a_clean_document_without_an_id(spark):
     assert left.where("doc_id is null").count() == 1
     packed = corpus_pipeline.STAGES[-1][1](spark, left, sf)
     assert packed.where("doc_id is null and start = 0").count() == 1
+
+
+def test_packing_is_near_the_lower_bound(spark):
+    rng = np.random.default_rng(4)
+    sizes = rng.integers(150, 651, 10_000).tolist()
+    pieces = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(sizes)], packing.PIECES)
+    used = packing.pack(pieces).select("sequence_id").distinct().count()
+    assert used <= 1.015 * -(-sum(sizes) // 2048)

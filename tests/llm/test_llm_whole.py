@@ -180,3 +180,44 @@ def test_packing_is_near_the_lower_bound(spark):
     pieces = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(sizes)], packing.PIECES)
     used = packing.pack(pieces).select("sequence_id").distinct().count()
     assert used <= 1.015 * -(-sum(sizes) // 2048)
+
+
+def _naive_tiling(doc, item, width):
+    """(covered, tiles, longest) by looking for the longest free common run again and again."""
+    free_d, free_i, sizes = [True] * len(doc), [True] * len(item), []
+    while True:
+        best = (0, 0, 0)
+        for d in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while d + n < len(doc) and i + n < len(item) and doc[d + n] == item[i + n] and free_d[d + n] and free_i[i + n]:
+                    n += 1
+                if n > best[0]:
+                    best = (n, d, i)
+        n, d, i = best
+        if n < width:
+            return sum(sizes), len(sizes), max(sizes, default=0)
+        free_d[d : d + n], free_i[i : i + n] = [False] * n, [False] * n
+        sizes.append(n)
+
+
+def test_decontamination_against_naive_tiling(spark):
+    rng = random.Random(12)
+    items = [[f"i{k}x{rng.randrange(12)}" for _ in range(rng.choice((3, 14, 30)))] for k in range(6)]
+    docs = []
+    for _ in range(40):
+        out = []
+        for _ in range(rng.randrange(1, 6)):
+            item = rng.choice(items)
+            at = rng.randrange(len(item))
+            out += item[at : at + rng.randrange(3, 25)] + [f"u{rng.randrange(50)}"] * rng.randrange(2)
+        docs.append(out)
+    want = set()
+    for d, doc in enumerate(docs):
+        for k, item in enumerate(items):
+            covered, tiles, longest = _naive_tiling(doc, item, min(decontamination.MIN_TILE, len(item)))
+            if tiles and covered * 100 >= decontamination.PERCENT * len(item):
+                want.add((d, k, len(item), covered, tiles, longest))
+    frame = lambda rows, name: spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], f"{name} long, text string")
+    got = {tuple(r) for r in decontamination.matches(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    assert got == want and any(r[4] > 1 for r in want)

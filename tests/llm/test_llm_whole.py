@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
+import re
+import zlib
 from collections import Counter
 from itertools import combinations, product
 
@@ -11,9 +14,12 @@ import pytest
 from llm_cases import prose
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 import corpus_pipeline
 from ledgerlark.llm import decontamination, near_dedup, packing, pii, quality_classifier, url_rules
 
+SF = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def exceptions(spark):
@@ -221,3 +227,61 @@ def test_decontamination_against_naive_tiling(spark):
     frame = lambda rows, name: spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], f"{name} long, text string")
     got = {tuple(r) for r in decontamination.matches(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
     assert got == want and any(r[4] > 1 for r in want)
+
+
+def _registered(spark, name):
+    return [r.asDict() for r in entry.queries()[name](spark, SF).collect()]
+
+
+def _kept_out(doc_id, divisor):
+    return zlib.crc32(str(doc_id).encode()) % divisor
+
+
+def test_registered_held_out_columns(spark):
+    for name, divisor, left in (("op4_language_id", 3, 1), ("op6_quality_classifier", 4, 2)):
+        rows = _registered(spark, name)
+        assert sorted(r["doc_id"] for r in rows) == sorted(r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect())
+        assert all(r["held_out"] == (_kept_out(r["doc_id"], divisor) == left) for r in rows)
+        assert name.startswith("op4") or all(r["predicted"] == int(r["score"] >= 0.7) for r in rows)
+
+
+def test_registered_pii_columns(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = _registered(spark, "op8_pii")
+    assert len(rows) == len(texts) and any(r["spans"] for r in rows)
+    listed = lambda spans: ",".join(f"{k}:{a}:{b}" for a, b, k in pii._listed(spans))
+    for r in rows:
+        plain = pii.plain_spans(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(listed(plain).encode()).hexdigest()
+        assert r["spans"] == listed(plain + pii.disguised_spans(texts[r["doc_id"]], plain, gated=False))
+        assert all(r[f"n_{k}"] == sum(s[2] == k for s in plain) for k in pii.KINDS)
+
+
+def test_registered_url_labels(spark):
+    """Pages whose number has a label decide the mined rules: support and confidence counted by hand."""
+    bad = {r["doc_id"]: r["quality"] == 0 or r["toxic"] == 1 for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    pages = url_rules.with_tokens(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url")).collect()
+    number = {r["page_id"]: re.search(r"/([0-9]{1,18})[^0-9/]*/?$", re.sub(r"[?#].*", "", r["url"] or "")) for r in pages}
+    sets = [(set(r["tokens"]), bad[int(m[1])]) for r in pages if (m := number[r["page_id"]]) and int(m[1]) in bad]
+    rows = _registered(spark, "op1_url_rules")
+    assert len(rows) == len(pages) and any(r["mined_rule"] for r in rows)
+    for r in rows:
+        if r["mined_rule"]:
+            have = [b for t, b in sets if set(r["mined_rule"].split(" ")) <= t]
+            assert r["confidence"] in (sum(have) / len(have), 1 - sum(have) / len(have), (len(have) - sum(have)) / len(have))
+            if r["rule"] is None and r["confidence"] > 0.5:
+                assert r["verdict"] == ("block" if 2 * sum(have) > len(have) else "allow")
+
+
+def test_registered_packing_and_leaks(spark):
+    ids = {r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
+    packed = _registered(spark, "op9_best_fit_packing")
+    assert {r["doc_id"] for r in packed} == ids and all(r["offset"] + r["length"] <= packing.SEQUENCE for r in packed)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    found = _registered(spark, "op2_benchmark_decontamination")
+    assert found and all(r["contaminated"] for r in found)
+    words = lambda t: [w.decode() for w in decontamination.tokens(t.encode())]
+    for r in [r for r in found if len(words(texts[r["doc_id"]])) < 300][:5]:
+        item = words(items[r["item_id"]])
+        assert (r["covered"], r["tiles"], r["longest"]) == _naive_tiling(words(texts[r["doc_id"]]), item, min(decontamination.MIN_TILE, len(item))) and r["item_tokens"] == len(item)

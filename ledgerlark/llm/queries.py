@@ -10,11 +10,14 @@ from ledgerlark.llm import (
     decontamination,
     language_id,
     line_dedup,
+    merkle,
     near_dedup,
     packing,
     pii,
     quality_classifier,
     quality_rules,
+    simhash,
+    spelling,
     sql,
     substring_dedup,
     url_rules,
@@ -102,6 +105,21 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the documents, by a hash of their ids, are tampered with: their text is lower-cased."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = merkle.manifest(table(spark, sf_dir, "documents"), _remainder(5) == 0, lowered)
+    return found.drop("copied")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -115,6 +133,9 @@ QUERIES = {
         op8_pii,
         op9_best_fit_packing,
         op10_substring_dedup,
+        op11_simhash_near_dedup,
+        op12_spelling_variants,
+        op13_merkle_manifest,
     )
 }
 SQL: dict[str, str] = {
@@ -122,4 +143,6 @@ SQL: dict[str, str] = {
     "op5_line_dedup": sql.line_dedup(),
     "op7_minhash_near_dedup": sql.near_dedup(),
     "op10_substring_dedup": sql.substring_dedup(),
+    "op12_spelling_variants": sql.spelling_variants(),
+    "op13_merkle_manifest": sql.merkle_manifest(),
 }

@@ -101,3 +101,90 @@ kept AS (
   FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
 FROM documents d LEFT JOIN kept USING (doc_id)"""
+
+
+CRC32 = """
+crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS t
+  FROM range(256) AS r(i))"""
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a text of code points below 256; needs ``crc_table`` (``t``) in scope."""
+    octets = f"flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295)"
+
+
+def spelling_variants() -> str:
+    """Words an edit apart share a text with one letter left out, at the same place or with the whole of the shorter."""
+    return f"""
+WITH RECURSIVE {CRC32.strip()},
+runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)),
+hashed AS (
+  SELECT run, c, {_crc32("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h
+  FROM (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 7 GROUP BY ALL), crc_table),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+less AS (
+  SELECT DISTINCT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.near_n >= 10 * w.n THEN b.near END AS form, CASE WHEN b.near_n >= 10 * w.n THEN b.near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+chain AS (
+  SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON chain.at = forms.word WHERE forms.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.at AS root FROM chain JOIN forms ON chain.at = forms.word WHERE forms.form IS NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, coalesce(e.root, f.word) AS root FROM forms f LEFT JOIN ends e ON f.word = e.word
+"""
+
+
+def merkle_manifest(heights: int = 8) -> str:
+    """The tree level by level, ``heights`` of 16 nodes each for a source and for the sources; enough for 16**heights."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"WITH {CRC32.strip()}",
+        f"""docs AS (
+  SELECT doc_id, source, {leaf("text")} AS leaf,
+         CASE WHEN ({_crc32("doc_id::VARCHAR")}) % 5 = 0 THEN {leaf(f"({lowered})")} ELSE {leaf("text")} END AS changed
+  FROM documents, crc_table)""",
+        """s_0 AS (
+  SELECT coalesce('=' || source, '') AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, leaf AS digest, doc_id, changed
+  FROM docs)""",
+        "fold_s_0 AS (SELECT doc_id, g, pos, digest AS leaf, changed AS folded, '' AS proof FROM s_0)",
+    ]
+
+    def climb(name: str, nodes: str) -> None:
+        for k in range(heights):
+            parts.append(f"""runs_{name}_{k} AS (
+  SELECT g, pos // 16 AS run, list(digest ORDER BY pos) AS members, max(count(*)) OVER (PARTITION BY g) = 1 AND count(*) OVER (PARTITION BY g) = 1 AS done
+  FROM {nodes} GROUP BY g, pos // 16)""")
+            parts.append(f"{name}_{k + 1} AS (SELECT g, run AS pos, CASE WHEN done THEN members[1] ELSE sha256(array_to_string(members, '')) END AS digest FROM runs_{name}_{k})")
+            parts.append(f"""fold_{name}_{k + 1} AS (
+  SELECT f.* REPLACE (f.pos // 16 AS pos,
+    CASE WHEN done THEN folded ELSE sha256(array_to_string(members[:f.pos % 16], '') || folded || array_to_string(members[f.pos % 16 + 2:], '')) END AS folded,
+    CASE WHEN done THEN proof ELSE proof || array_to_string(members[:f.pos % 16], '') || array_to_string(members[f.pos % 16 + 2:], '') END AS proof)
+  FROM fold_{name}_{k} f JOIN runs_{name}_{k} r ON f.g = r.g AND f.pos // 16 = r.run)""")
+            nodes = f"{name}_{k + 1}"
+
+    climb("s", "s_0")
+    parts.append(f"r_0 AS (SELECT '' AS g, g AS source, row_number() OVER (ORDER BY g) - 1 AS pos, digest FROM s_{heights})")
+    parts.append(f"fold_r_0 AS (SELECT f.* REPLACE ('' AS g, r.pos AS pos), r.digest AS subroot FROM fold_s_{heights} f JOIN r_0 r ON f.g = r.source)")
+    climb("r", "r_0")
+    parts.append(f"""final AS (
+  SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified
+  FROM fold_r_{heights}, r_{heights})""")
+    return ",\n".join(parts) + "\nSELECT * FROM final\n"

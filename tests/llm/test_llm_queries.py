@@ -11,7 +11,7 @@ from ledgerlark.llm import queries
 
 def test_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(queries.SQL) <= set(entry.oracle_sql())
 
 

@@ -1,10 +1,10 @@
 """``ntile(n) over (order by x nulls first, tie)`` without sorting or shuffling the rows.
 
 Only the last row of each bucket but the last matters: those n - 1 (x, tie)
-pairs are found by exact rank selection (:mod:`ranks`), first x, then the tie
-key among the rows with that x. Every row then gets its bucket by comparing
-it with the n - 1 pairs, in the scan, so a following aggregate reduces map-side.
-A hot value or hot NULLs need no special care.
+pairs are found by exact rank selection (:mod:`ranks`) in the lexicographic
+order, with two scans. Every row then gets its bucket by comparing it with the
+n - 1 pairs, in the scan, so a following aggregate reduces map-side. A hot value
+or hot NULLs need no special care.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import values_at_ranks
+from .ranks import rows_at_ranks
 
 
 def bucket_ends(total: int, n: int) -> list[int]:
@@ -25,29 +25,14 @@ def bucket_ends(total: int, n: int) -> list[int]:
 def distributed_ntile(df: DataFrame, order_col: str, tie_col: str, n: int, out_col: str) -> DataFrame:
     """Add ``out_col`` = ``ntile(n) over (order by order_col nulls first, tie_col)``.
 
-    ``order_col`` is a number, ``tie_col`` an integer, non-NULL and unique.
-    The counting jobs run when the DataFrame is built and return at most some
-    thousand counts each, whatever the input's size or partitions.
+    ``order_col`` is a number (NaN comes last), ``tie_col`` an integer, non-NULL
+    and unique. The two counting jobs run when the DataFrame is built.
     """
     x, tie = F.col(order_col), F.col(tie_col)
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count(x).alias("nn")).first()
-    nulls = stats["n"] - stats["nn"]
-    ends = bucket_ends(stats["n"], n)
-    at = values_at_ranks(df, order_col, lambda _, __: [e - nulls for e in ends]).get(0, {})
-    # per boundary value (None: NULL), the ranks of the boundaries among its rows
-    inside: dict[float | int | None, list[int]] = {}
-    for e in ends:
-        value, before = at[e - nulls] if e > nulls else (None, 0)
-        inside.setdefault(value, []).append(e - nulls - before if e > nulls else e)
     last: list[Column] = []
-    if inside:
-        kept = x.isin([v for v in inside if v is not None]) | (x.isNull() if None in inside else F.lit(False))
-        same = df.select(x.alias("v"), tie.alias("t")).where(kept)
-        ties = values_at_ranks(same, "t", lambda v, _: inside.get(v, []), group="v")
-        for value, ranks in inside.items():
-            for k in ranks:
-                t = F.lit(ties[value][k][0])
-                last.append((x.isNotNull() | (tie > t)) if value is None else ((x > F.lit(value)) | ((x == F.lit(value)) & (tie > t))))
+    for value, t in rows_at_ranks(df, order_col, tie_col, lambda total: bucket_ends(total, n)).values():
+        later = tie > F.lit(t)
+        last.append((x.isNotNull() | later) if value is None else ((x > F.lit(value)) | ((x == F.lit(value)) & later)))
     bucket = F.lit(1)
     for beyond in last:
         bucket = bucket + F.when(beyond, 1).otherwise(0)

@@ -141,27 +141,24 @@ PROFILE_PROBS = [("p01", 0.01), ("p25", 0.25), ("median", 0.50), ("p75", 0.75),
 def numeric_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: NULL/zero/negative counts, min, p01..p99, max, max/p99 ratio.
 
-    One scan for all columns: ``unpivot`` to (column_name, value) -- values
-    cast to double, as the reference's ``UNION ALL`` coerces -- then one
-    ``groupBy(column_name)``.  The quantiles are exact at any size: they are
-    found by counting values in cells (:mod:`ranks`), so a final task gets a
-    few numbers per map task.  Sorted by the max/p99 ratio, descending, NULLs
-    last.
+    Two scans for all columns: ``unpivot`` to (column_name, value) -- values
+    cast to double, as the reference's ``UNION ALL`` coerces -- then the counts
+    and a sketch per column in one, and the exact quantiles in the other
+    (:mod:`ranks`). Both run when the DataFrame is built; it holds one row per
+    column. Sorted by the max/p99 ratio, descending, NULLs last.
     """
-    probs = [p for _, p in PROFILE_PROBS]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "column_name", "v")
     x = F.col("v")
-    prof = long.groupBy("column_name").agg(
+    prof = quantile_table(long, "v", [p for _, p in PROFILE_PROBS], "column_name", [
         count_if(x.isNull()).alias("null_count"),
         count_if(x == 0).alias("zero_count"),
         count_if(x < 0).alias("negative_count"),
         F.min(x).alias("min_value"),
         F.max(x).alias("max_value"),
-    )
-    q = quantile_table(long, "v", probs, "column_name")
-    prof = prof.join(F.broadcast(q), prof["column_name"] == q["_g"], "left").select(
-        "column_name", "null_count", "zero_count", "negative_count", "min_value",
+    ])
+    prof = prof.select(
+        F.col("_g").alias("column_name"), "null_count", "zero_count", "negative_count", "min_value",
         *[F.col("_q")[j].alias(name) for j, (name, _) in enumerate(PROFILE_PROBS)],
         "max_value",
     )

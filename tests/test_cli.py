@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlark.__main__ import main
 
 

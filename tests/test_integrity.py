@@ -41,7 +41,7 @@ def test_fanout_and_join_rowcount(spark):
 def test_join_rowcount_runs_the_join(spark):
     """Both sides are scanned and joined, and a summary with two rows per loan would show."""
     import __spark_entry__ as entry
-    from conftest import SF_SMALL
+    from paths import SF_SMALL
     from ledgerlark.operators import checks as ck
 
     for key in ("an06_join_rowcount", "check_join_preserves_rows"):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerlark.operators import ranks
 from ledgerlark.operators.ntile import distributed_ntile
 from ledgerlark.operators.ranks import quantile_rank, values_at_ranks
 
@@ -41,8 +42,9 @@ def test_integers_and_close_doubles(spark):
     assert _ours(df := spark.createDataFrame(rows, "id long, x long"), 9) == _reference(df, 9)
     rows = [(i, 1e9 + i * 1e-7) for i in range(400)] + [(1000, -1e300), (1001, 1e300)]
     assert _ours(df := spark.createDataFrame(rows, "id long, x double"), 7) == _reference(df, 7)
-    with pytest.raises(ValueError, match="NaN"):
-        distributed_ntile(spark.createDataFrame([(1, float("nan")), (2, 1.0)], "id long, x double"), "x", "id", 2, "b")
+    rows = [(i, v) for i, v in enumerate([float("nan"), 1.0, float("-inf"), None, 1.7e308, -1.7e308, float("inf"), float("nan"), None, 0.0])]
+    for n in (2, 3, 10):  # NaN is last, infinities and the widest range order as numbers do
+        assert _ours(df := spark.createDataFrame(rows, "id long, x double"), n) == _reference(df, n)
 
 
 @pytest.mark.parametrize("p", [0.01, 0.25, 0.5, 0.75, 0.99])
@@ -58,6 +60,41 @@ def test_quantiles_per_group(spark, p):
         assert got[g] == {k: (value, sum(v < value for v in own))}
 
 
+@pytest.mark.parametrize("limit", [200_000, 50])
+def test_brackets_written_by_range(spark, monkeypatch, limit):
+    """Large brackets go by way of a table sorted by range; the ranks are the same, ties and NULLs included."""
+    rnd = random.Random(4)
+    monkeypatch.setattr(ranks, "MAX_COLLECTED", limit)
+    rows = [(i, rnd.choice([None, 3.0, 3.0, rnd.random() * 100, float(rnd.randrange(20))]), rnd.choice("ab")) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, x double, g string").repartition(7)
+    assert _ours(df, 10) == _reference(df, 10)
+    got = values_at_ranks(df, "x", lambda _, n: [quantile_rank(n, p) for p in (0.01, 0.5, 0.99)], group="g")
+    for g in "ab":
+        own = sorted(v for _, v, h in rows if h == g and v is not None)
+        ks = [quantile_rank(len(own), p) for p in (0.01, 0.5, 0.99)]
+        assert got[g] == {k: (own[k - 1], sum(v < own[k - 1] for v in own)) for k in ks}
+
+
+def test_bracket_without_its_rank_is_widened(spark, monkeypatch):
+    df = spark.range(5000).select(F.col("id"), F.col("id").cast("double").alias("x"))
+    monkeypatch.setattr(ranks, "_bracket", lambda r, j: (r["_lo"], r["_lo"]))
+    assert values_at_ranks(df, "x", lambda _, n: [7, n // 2, n])[0] == {k: (float(k - 1), k - 1) for k in (7, 2500, 5000)}
+
+
+def test_two_scans(spark):
+    """The selection runs two jobs over the input, whatever the spread of the values."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(20_000).select(F.col("id"), F.exp(F.col("id") % 600).alias("x")).mapInPandas(count, "id long, x double")
+    values_at_ranks(df, "x", lambda _, n: [quantile_rank(n, p) for p in (0.01, 0.5, 0.99)])
+    assert seen.value == 40_000
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id long, x double")
     assert distributed_ntile(df, "x", "id", 10, "b").count() == 0

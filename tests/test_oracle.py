@@ -13,7 +13,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlark.plans.registry import QUERIES
 
 KEYS = sorted(QUERIES)

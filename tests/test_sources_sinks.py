@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from ledgerlark.operators import staging as st
 from ledgerlark.plans.catalog import Catalog
 from ledgerlark.plans.sinks import build, write_table

@@ -20,7 +20,8 @@ import math
 import uuid
 from collections.abc import Callable, Hashable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,8 @@ ACCURACY = 10_000
 NARROW, WIDE = 2 / ACCURACY, 0.02
 #: Groups and wanted ranks kept on the driver and broadcast at most; more is an error, not a silent cut.
 MAX_TARGETS = 50_000
+#: Groups times brackets that are compared as literals; more are joined.
+MAX_LITERALS = 128
 #: Counted values that the driver takes; brackets with more of them are sorted by Spark.
 MAX_COLLECTED = 200_000
 
@@ -66,23 +69,34 @@ def _bracket(r: Row, j: int) -> tuple[float, float]:
     return (low, high) if r["_n"] * WIDE >= 8 else (r["_lo"], r["_hi"])
 
 
-def _segment(s: Column, lows: list[Column] | Column, highs: list[Column] | Column) -> Column:
-    """2 j below bracket j, 2 j + 1 inside it."""
-    if isinstance(lows, list):
-        return sum([F.when(s >= x, 1).otherwise(0) for x in lows] + [F.when(s > x, 1).otherwise(0) for x in highs], F.lit(0))
-    return F.size(F.filter(lows, lambda x: s >= x)) + F.size(F.filter(highs, lambda x: s > x))
+def _local(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small table as part of the plan: no job reads it."""
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
+    table = pa.table([pa.array(list(c)) for c in columns], names=[f.name for f in schema])
+    return spark.createDataFrame(table, schema)
+
+
+def _literal_segment(own: Brackets) -> Column:
+    """2 j for ``s`` below bracket j, 2 j + 1 inside it; as text, since one call per literal would take longer than the scan."""
+    number = lambda x: f"cast('{float(x)!r}' as double)"
+    return F.expr(" + ".join(f"int(s >= {number(lo)}) + int(s > {number(hi)})" for lo, hi in own))
 
 
 def _counted(rows: DataFrame, brackets: dict[Hashable, Brackets], grouped: bool) -> DataFrame:
     """``g, seg, v, t, c``: rows per value (and tie key) inside a bracket, per segment (``v``, ``t`` NULL) outside."""
-    if grouped:
+    if not grouped:
+        seg = _literal_segment(brackets[0])
+    elif sum(map(len, brackets.values())) <= MAX_LITERALS:
+        seg = F.lit(None).cast("int")
+        for g, own in brackets.items():
+            seg = F.when(F.col("g").eqNullSafe(F.lit(g)), _literal_segment(own)).otherwise(seg)
+        rows = rows.select("*", seg.alias("seg")).where("seg IS NOT NULL")
+        seg = F.col("seg")
+    else:
         schema = T.StructType([T.StructField("h", rows.schema["g"].dataType), T.StructField("lows", T.ArrayType(T.DoubleType())), T.StructField("highs", T.ArrayType(T.DoubleType()))])
-        table = rows.sparkSession.createDataFrame([(g, [b[0] for b in own], [b[1] for b in own]) for g, own in brackets.items()], schema)
+        table = _local(rows.sparkSession, [(g, [b[0] for b in own], [b[1] for b in own]) for g, own in brackets.items()], schema)
         rows = rows.join(F.broadcast(table), rows["g"].eqNullSafe(table["h"]))
-        seg = _segment(F.col("s"), F.col("lows"), F.col("highs"))
-    else:
-        own = brackets[0]
-        seg = _segment(F.col("s"), [F.lit(float(b[0])) for b in own], [F.lit(float(b[1])) for b in own])
+        seg = F.expr("size(filter(lows, x -> s >= x)) + size(filter(highs, x -> s > x))")
     inside = F.col("seg") % 2 == 1
     cut = rows.select("g", seg.alias("seg"), "v", "t").select("g", "seg", F.when(inside, F.col("v")).alias("v"), F.when(inside, F.col("t")).alias("t"))
     return cut.groupBy("g", "seg", "v", "t").agg(F.count(F.lit(1)).alias("c"))
@@ -140,7 +154,7 @@ def _from_large(counts: DataFrame, wanted: dict[Hashable, Sequence[int]]) -> dic
             out[g] = None
     if asked:
         schema = T.StructType([T.StructField("h", counts.schema["g"].dataType), *[T.StructField(c, k) for c, k in (("seg", T.IntegerType()), ("part", T.IntegerType()), ("k", T.LongType()), ("first", T.LongType()))]])
-        targets = spark.createDataFrame(asked, schema)
+        targets = _local(spark, asked, schema)
         parts = sorted({a[2] for a in asked})
         window = Window.partitionBy("part", "g", "seg").orderBy(F.col("v").asc_nulls_first(), F.col("t").asc_nulls_first())
         summed = table.where(F.col("part").isin(parts)).withColumn("upto", F.sum("c").over(window))
@@ -161,8 +175,9 @@ def _selected(df: DataFrame, value: str, ranks: Ranks, group: str | None, tie: s
     shares = [k / 10**9 for k in ranks(None, 10**9)]  # where the wanted ranks lie in a large group
     at = [min(1.0, max(0.0, p + d)) for p in shares for d in (-NARROW, NARROW, -WIDE, WIDE)] or [0.5]
     g = F.col(group) if group else F.lit(0)
-    first = df.groupBy(g.alias("g")).agg(
-        F.count(s).alias("_n"), F.min(s).alias("_lo"), F.max(s).alias("_hi"), F.percentile_approx(s, at, ACCURACY).alias("_s"), *aggs)
+    sketch = F.expr(f"percentile_approx(_key, array({', '.join(f'{p!r}D' for p in at)}), {ACCURACY})")
+    first = df.withColumn("_key", s).groupBy(g.alias("g")).agg(
+        F.count("_key").alias("_n"), F.min("_key").alias("_lo"), F.max("_key").alias("_hi"), sketch.alias("_s"), *aggs)
     seen = {r["g"]: r for r in first.limit(MAX_TARGETS + 1).collect()}
     wanted = {g: [k for k in ranks(g, r["_n"]) if 1 <= k <= r["_n"]] for g, r in seen.items()}
     wanted = {g: ks for g, ks in wanted.items() if ks}
@@ -225,4 +240,4 @@ def quantile_table(df: DataFrame, value: str, probs: Sequence[float], group: str
         q = [float(found[g][quantile_rank(r["_n"], p)][0]) for p in probs] if r["_n"] else None
         rows.append((g, q, *[r[c] for c in names]))
     out = T.StructType([T.StructField("_g", df.schema[group].dataType), T.StructField("_q", T.ArrayType(T.DoubleType())), *schema.fields[5:]])
-    return df.sparkSession.createDataFrame(rows, out)
+    return _local(df.sparkSession, rows, out)

@@ -60,10 +60,11 @@ def test_quantiles_per_group(spark, p):
         assert got[g] == {k: (value, sum(v < value for v in own))}
 
 
-@pytest.mark.parametrize("limit", [200_000, 50])
-def test_brackets_written_by_range(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit,literals", [(200_000, 128), (50, 128), (50, 0)])
+def test_brackets_written_by_range(spark, monkeypatch, limit, literals):
     """Large brackets go by way of a table sorted by range; the ranks are the same, ties and NULLs included."""
     rnd = random.Random(4)
+    monkeypatch.setattr(ranks, "MAX_LITERALS", literals)
     monkeypatch.setattr(ranks, "MAX_COLLECTED", limit)
     rows = [(i, rnd.choice([None, 3.0, 3.0, rnd.random() * 100, float(rnd.randrange(20))]), rnd.choice("ab")) for i in range(6000)]
     df = spark.createDataFrame(rows, "id long, x double, g string").repartition(7)

@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import (
+    BROADCAST_IDS,
     WordHashes,
     as_long,
     binary_column,
@@ -283,10 +284,14 @@ def _within_reach(members: DataFrame, percent: int) -> DataFrame:
 def _open(members: DataFrame) -> DataFrame | None:
     """The members (``bucket, hub, id, component`` and more) of the buckets that hold several components; None if there are none."""
     members = stored(members, "rest")
-    split = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    split = stored(split.where("low <> high").select("bucket", "size"), "split")
-    total = split.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    return stored(with_heavy_split(members, split, "bucket", "size", total), "open") if total else None
+    kinds = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))  # a settled bucket is one row
+    split = stored(kinds.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("size").alias("size")).where("parts > 1").drop("parts"), "split")
+    found = split.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("total")).first()
+    if not found["n"]:
+        return None
+    if found["n"] <= BROADCAST_IDS:  # the members of settled buckets go no further than the scan
+        return stored(members.join(F.broadcast(split.select("bucket")), "bucket", "left_semi"), "open")
+    return stored(with_heavy_split(members, split, "bucket", "size", found["total"]), "open")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.compat import count_if, exact_avg, not_title_case, pct, safe_div, trim_ws
 from .ranks import quantile_table
@@ -89,18 +90,36 @@ def _nested_grain(df: DataFrame, table_name: str, keys: Sequence[str], names: Ma
     return one.agg(*cols)
 
 
+def _row_hash(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row; rows that compare equal have equal hashes."""
+    same = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):  # -0.0 equals 0.0, any NaN any other
+            c = F.when(c == 0, F.lit(0.0)).when(F.isnan(c), F.lit(float("nan"))).otherwise(c).cast(f.dataType)
+        same.append(c)
+    return [F.xxhash64(*same).alias("_h1"), F.xxhash64(F.lit(1), *same).alias("_h2")]
+
+
 def full_row_duplicates(df: DataFrame) -> DataFrame:
     """Rows, distinct full rows (NULLs compare equal) and identical duplicates (T13).
 
-    One ``groupBy`` over every column: duplicates collapse in the map-side
-    partial aggregate before the shuffle.
+    Rows are grouped by a hash first, 16 bytes a row. A hash that comes once is
+    a distinct row; only the rows of repeated hashes are compared in full, in a
+    second scan, so unequal rows that share a hash still count apart.
     """
-    per_row = df.groupBy(*df.columns).agg(_n().alias("_c"))
-    total = F.coalesce(F.sum("_c"), F.lit(0)).cast("bigint")
-    return per_row.agg(
+    hashes = ["_h1", "_h2"]
+    groups = df.select(*_row_hash(df)).groupBy(*hashes).agg(_n().alias("_c"))
+    once = groups.agg(F.sum("_c").alias("_rows"), count_if(F.col("_c") == 1).alias("_distinct"))
+    repeated = groups.where("_c > 1").select(*hashes)
+    whole = df.select("*", *_row_hash(df)).join(repeated, hashes, "left_semi").groupBy(*df.columns).agg(_n().alias("_c"))
+    more = whole.agg(F.lit(0).cast("bigint").alias("_rows"), _n().alias("_distinct"))
+    total = F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint")
+    distinct = F.coalesce(F.sum("_distinct"), F.lit(0)).cast("bigint")
+    return once.unionByName(more).agg(
         total.alias("total_rows"),
-        _n().alias("distinct_full_rows"),
-        (total - _n()).alias("identical_duplicate_rows"),
+        distinct.alias("distinct_full_rows"),
+        (total - distinct).alias("identical_duplicate_rows"),
     )
 
 

@@ -12,6 +12,7 @@ the whole chain together (view semantics).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.errors import PySparkException
@@ -57,13 +58,18 @@ class Catalog:
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         if not (self.materialize and name in TABLE_MODELS):
             return df
+        from .publish import CONTRACTS, publish
         from .sinks import BUILD_MODELS, write_table
 
         root = self.dest or f"{shared_dir(self.spark)}/ledgerlark-tables/{self.run_id}"
-        path = f"{root.rstrip('/')}/{name}"
-        write_table(df, path, cluster_by=BUILD_MODELS.get(name, ()))
-        self.written[name] = path
-        return self.spark.read.parquet(path)
+        self.written[name] = publish(
+            self.spark, name, root, lambda to: write_table(df, to, cluster_by=BUILD_MODELS.get(name, ())),
+            self.spine_rows(CONTRACTS[name].spine))
+        return self.spark.read.parquet(self.written[name])
+
+    def spine_rows(self, spine: str | None) -> Callable[[], int] | None:
+        """Counts the rows of the model ``spine``, when called."""
+        return (lambda: getattr(self, spine).count()) if spine else None
 
     # ---------------------------------------------------------------- staging
     @cached_property

@@ -8,6 +8,8 @@ spelled as the source spells them (``POS_CASH_balance`` keeps its case).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,22 +87,66 @@ def file_schema(spark: SparkSession, path: str, name: str, fmt: str) -> T.Struct
     return T.StructType([declared.get(f.name.lower(), f) for f in found])
 
 
-def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+#: Name of the column that holds a record which could not be read.
+BAD_RECORD = "_bad_record"
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
+    """CSV by header names; every column of a record is parsed whatever is selected, so a record is good or bad for all queries alike."""
+    return (spark.read.schema(schema).option("header", True).option("mode", mode)
+            .option("columnNameOfCorruptRecord", BAD_RECORD).option("columnPruning", False)
+            .option("enforceSchema", False)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            .csv(path))
+
+
+def rejected_records(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``table_name, file, record`` of the CSV records of one raw table that cannot be read.
+
+    A record is bad when it has more or fewer fields than the header or a field
+    that is not of the declared type. ``load_table(..., bad_rows="reject")``
+    reads exactly the others.
+    """
+    path = f"{root.rstrip('/')}/{name}"
+    schema = file_schema(spark, path, name, "csv").add(BAD_RECORD, _S)
+    bad = _read_csv(spark, path, schema, "PERMISSIVE").where(F.col(BAD_RECORD).isNotNull())
+    return bad.select(F.lit(name).alias("table_name"), F.col("_metadata.file_path").alias("file"), F.col(BAD_RECORD).alias("record"))
+
+
+def write_rejects(spark: SparkSession, root: str, names: Sequence[str], dest: str) -> dict[str, int]:
+    """Write the rejected records of the tables to ``dest`` (one folder per table) and return their counts, from what was written."""
+    out = {}
+    for name in names:
+        path = f"{dest.rstrip('/')}/{name}"
+        rejects = rejected_records(spark, root, name)
+        rejects.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(rejects.schema).parquet(path).count()
+    return out
+
+
+def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet", bad_rows: str = "fail") -> DataFrame:
     """Read one raw table from ``{root}/{name}`` (a file or a directory of files).
 
     Columns are bound by name, in whatever order the files have them: the
     declared ones come first with their declared types, all others follow
     unchanged, and a missing one raises. CSV files need a header row that is
     the same in every file; values keep their leading and trailing white space
-    (the audits look for it).
+    (the audits look for it). A CSV record that cannot be read ends the query
+    that meets it (``bad_rows="fail"``) or is left out (``"reject"``, see
+    :func:`rejected_records`).
     """
+    if bad_rows not in ("fail", "reject"):
+        raise ValueError(f"bad_rows is fail or reject, not {bad_rows}")
     path = f"{root.rstrip('/')}/{name}"
     schema = file_schema(spark, path, name, fmt)
     if fmt == "csv":
-        df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-              .option("enforceSchema", False)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-              .csv(path))
+        if bad_rows == "fail":
+            df = _read_csv(spark, path, schema, "FAILFAST")
+        else:
+            df = _read_csv(spark, path, T.StructType([*schema.fields, T.StructField(BAD_RECORD, _S)]), "PERMISSIVE")
+            # Spark does not filter by the bad record alone: some column of the data must be read with it, even for a count
+            read = F.length(F.concat_ws("", F.col(schema.fields[0].name).cast("string"))) >= 0
+            df = df.where(F.col(BAD_RECORD).isNull() & read).drop(BAD_RECORD)
     else:
         df = spark.read.format(fmt).load(path)
     own = [f.name for f in SCHEMAS[name].fields]
@@ -109,6 +155,6 @@ def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet")
 
 
 def load_tables(spark: SparkSession, root: str, fmt: str = "parquet",
-                names: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+                names: tuple[str, ...] | None = None, bad_rows: str = "fail") -> dict[str, DataFrame]:
     """All (or the named) raw tables under ``root``; lazily, nothing is scanned."""
-    return {n: load_table(spark, root, n, fmt) for n in (names or tuple(SCHEMAS))}
+    return {n: load_table(spark, root, n, fmt, bad_rows) for n in (names or tuple(SCHEMAS))}

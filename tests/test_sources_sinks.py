@@ -11,7 +11,7 @@ from paths import SF_SMALL
 from ledgerlark.operators import staging as st
 from ledgerlark.plans.catalog import Catalog
 from ledgerlark.plans.sinks import build, write_table
-from ledgerlark.sources.raw import load_table, load_tables
+from ledgerlark.sources.raw import load_table, load_tables, rejected_records, write_rejects
 from ledgerlark.streaming.incremental import stage_stream
 
 
@@ -108,3 +108,24 @@ def test_build_writes_each_table_once(spark, tmp_path):
     out = build(cat, str(tmp_path / "out"))
     assert all(path == f"{tmp_path}/out/{name}" for name, path in out.items())
     assert set(cat.written.values()) <= {f"{tmp_path}/out/{m}" for m in [*out, "bureau_balance_loan_summary"]}
+
+
+def test_csv_rejects_are_counted_and_good_rows_load(spark, tmp_path, capsys):
+    folder = tmp_path / "csv" / "bureau_balance"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("SK_ID_BUREAU,MONTHS_BALANCE,STATUS,NOTE\n1,-1,C,ok\nx,-2,0,bad id\n2,-3,1\n")
+    (folder / "b.csv").write_text("SK_ID_BUREAU,MONTHS_BALANCE,STATUS,NOTE\n3,-1, X ,ok\n4,-1,0,too,many\n5,1.5,0,bad month\n,,,\n")
+    root = str(tmp_path / "csv")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST|CAST_INVALID"):
+        load_table(spark, root, "bureau_balance", "csv").collect()
+    good = load_table(spark, root, "bureau_balance", "csv", bad_rows="reject")
+    assert _rows(good) == _rows(spark.createDataFrame([(1, -1, "C", "ok"), (3, -1, " X ", "ok"), (None, None, None, None)], good.schema))
+    # the same rows whatever is selected
+    assert good.count() == 3 and sorted(r.STATUS or "" for r in good.select("STATUS").collect()) == ["", " X ", "C"]
+    bad = rejected_records(spark, root, "bureau_balance")
+    assert {(r.file.rsplit("/", 1)[1], r.record) for r in bad.collect()} == {
+        ("a.csv", "x,-2,0,bad id"), ("a.csv", "2,-3,1"), ("b.csv", "4,-1,0,too,many"), ("b.csv", "5,1.5,0,bad month")}
+    assert write_rejects(spark, root, ["bureau_balance"], str(tmp_path / "rejects")) == {"bureau_balance": 4}
+    assert spark.read.parquet(str(tmp_path / "rejects" / "bureau_balance")).where("table_name = 'bureau_balance'").count() == 4
+    with pytest.raises(ValueError, match="bad_rows"):
+        load_table(spark, root, "bureau_balance", "csv", bad_rows="ignore")

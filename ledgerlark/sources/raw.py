@@ -92,7 +92,7 @@ BAD_RECORD = "_bad_record"
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str) -> DataFrame:
-    """CSV by header names; every column of a record is parsed whatever is selected, so a record is good or bad for all queries alike."""
+    """CSV by header names; the fields of a record are counted whatever is selected."""
     return (spark.read.schema(schema).option("header", True).option("mode", mode)
             .option("columnNameOfCorruptRecord", BAD_RECORD).option("columnPruning", False)
             .option("enforceSchema", False)
@@ -109,7 +109,8 @@ def rejected_records(spark: SparkSession, root: str, name: str) -> DataFrame:
     """
     path = f"{root.rstrip('/')}/{name}"
     schema = file_schema(spark, path, name, "csv").add(BAD_RECORD, _S)
-    bad = _read_csv(spark, path, schema, "PERMISSIVE").where(F.col(BAD_RECORD).isNotNull())
+    read = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in SCHEMAS[name].fields])) >= 0
+    bad = _read_csv(spark, path, schema, "PERMISSIVE").where(F.col(BAD_RECORD).isNotNull() & read)
     return bad.select(F.lit(name).alias("table_name"), F.col("_metadata.file_path").alias("file"), F.col(BAD_RECORD).alias("record"))
 
 
@@ -144,8 +145,9 @@ def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
             df = _read_csv(spark, path, schema, "FAILFAST")
         else:
             df = _read_csv(spark, path, T.StructType([*schema.fields, T.StructField(BAD_RECORD, _S)]), "PERMISSIVE")
-            # Spark does not filter by the bad record alone: some column of the data must be read with it, even for a count
-            read = F.length(F.concat_ws("", F.col(schema.fields[0].name).cast("string"))) >= 0
+            # only the columns that a query uses are parsed; all typed ones are used here, so that a
+            # record is good or bad for every query alike
+            read = F.length(F.concat_ws("", *[F.col(f.name).cast("string") for f in SCHEMAS[name].fields])) >= 0
             df = df.where(F.col(BAD_RECORD).isNull() & read).drop(BAD_RECORD)
     else:
         df = spark.read.format(fmt).load(path)

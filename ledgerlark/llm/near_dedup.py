@@ -11,14 +11,12 @@ probability below ``MISS``.
 
 Equal sets are one class, represented by its smallest doc_id. Within a bucket
 of a band the classes are compared with hubs, first with the smallest class;
-a link is confirmed on the full sets. Classes already connected need no further
-comparison. What stays open is ruled out by counts where
-possible: with a of the hub's shingles, e others that some open class shares
-and u that none shares, two classes x and y have at most min(a, a') + min(e, e')
-shingles in common. Classes with equal counts, rounded to fiftieths of the hub,
-form a profile; only classes whose profiles can reach the threshold, which are
-not connected and which share a bucket are compared. So a group of n copies
-costs about n comparisons, and no pair between components is left out.
+a link is confirmed on the full sets. A bucket whose classes are connected by then
+is settled. The classes of the others are compared each with each of the same
+hub, in tiles: a task counts the common shingles of all sets of two tiles by
+numpy and hands on connections only. So a group of n copies costs about n
+comparisons, no pair between components is left out, and texts that share a
+template but are not alike cost counting, not rows.
 
 Defined results: a null, empty or blank text has an empty set and is linked
 with nothing; a text with fewer words than a shingle is one shingle; rows that
@@ -35,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import (
@@ -53,11 +51,15 @@ from ledgerlark.llm.common import (
     stored,
     with_heavy_split,
 )
+from ledgerlark.llm.tiles import meetings, tiles_of
 
 WIDTH, PERCENT = 5, 80
 COORDINATES = 192
 MISS = 1e-6
 
+#: Shingles of a tile, and elements multiplied at once.
+TILE_SHINGLES, COLUMNS = 400_000, 4096
+
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LOW = np.uint64((1 << 40) - 1)
 _SEEDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -184,24 +186,88 @@ def _with_component(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(named, "id", "left").select("bucket", "hub", "id", F.coalesce("_c", "id").alias("component"))
 
 
-def own_shingles(texts: DataFrame, width: int) -> DataFrame:
-    """``id, u``: how many shingles of a text no other text has; without a row, none."""
+def merged(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``labels`` (each node's smallest connected node) after the links a - b are added."""
+    while True:
+        one, two = labels[a], labels[b]
+        if (one == two).all():
+            return labels
+        np.minimum.at(labels, np.maximum(one, two), np.minimum(one, two))
+        while (labels[labels] != labels).any():
+            labels = labels[labels]
+
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sets_of(texts: DataFrame, width: int) -> DataFrame:
+    """``id, shingles`` of the texts: the sorted distinct shingle hashes."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in slices(batches):
-            ids = np.array(column(batch, "doc_id"), np.int64)
-            sets = [shingle_set(t, width, hashes) for t in binary_column(batch, "text")]
-            sizes = np.array([len(s) for s in sets])
-            every, first, n = np.unique(np.concatenate(sets), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(as_long(every)), pa.array(n), pa.array(np.repeat(ids, sizes)[first])],
-                ["shingle", "n", "id"],
-            )
+        for batch in slices(batches, 100):
+            sets = [as_long(shingle_set(t, width, hashes)) for t in binary_column(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    return ship(texts).select(F.col("doc_id").alias("id"), "text").mapInArrow(made, "id bigint, shingles array<bigint>")
+
 
-    found = ship(texts).mapInArrow(count, "shingle bigint, n bigint, id bigint")
-    single = found.groupBy("shingle").agg(F.sum("n").alias("n"), F.min("id").alias("id")).where("n = 1")
-    return single.groupBy("id").agg(F.count("*").alias("u"))
+def common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of x has in common with each set of y.
+
+    Elements that many of the sets hold are counted by a matrix product, the
+    others pair by pair of the few sets that hold them.
+    """
+    out = np.zeros((len(x), len(y)), np.float32)
+    every, place = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    owner = np.repeat(np.arange(len(x) + len(y)), [len(s) for s in (*x, *y)])
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    left = owner < len(x)
+    n_x, n_y = (np.bincount(place[side], minlength=len(every)) for side in (left, ~left))
+    dense = n_x * n_y * 32 > len(x) * len(y)
+    few = (n_x > 0) & (n_y > 0) & ~dense
+    number = np.cumsum(dense) - 1
+    for at in range(0, int(dense.sum()), COLUMNS):
+        own = dense[place] & (number[place] >= at) & (number[place] < at + COLUMNS)
+        a, b = np.zeros((len(x), COLUMNS), np.float32), np.zeros((len(y), COLUMNS), np.float32)
+        a[owner[own & left], number[place[own & left]] - at] = 1
+        b[owner[own & ~left] - len(x), number[place[own & ~left]] - at] = 1
+        out += a @ b.T
+    starts = np.concatenate([[0], np.cumsum(n_x + n_y)])
+    for k in np.nonzero(few)[0]:  # the owners of one element: those in x, then those in y
+        own = owner[starts[k] : starts[k + 1]]
+        out[np.ix_(own[: n_x[k]], own[n_x[k] :] - len(x))] += 1
+    return out
+
+
+def links_within(members: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """``a, b``: connections by links between the members (``hub, id``) of a hub, each with each, tile by tile.
+
+    Two tiles are one row and their sets meet inside a task; only connections
+    leave it, at most one for each member, so nothing grows with the pairs but
+    the counting itself.
+    """
+    own = members.select("hub", "id").distinct()
+    sets = sets_of(texts.join(own.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), width)
+    items = stored(own.join(sets, "id").select(F.array("hub").alias("cell"), "id", "shingles"), "sets")
+    tiles = tiles_of(items, F.size("shingles"), TILE_SHINGLES, ["id", "shingles"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 4):
+            a, b = [], []
+            of = [batch.column(batch.schema.get_field_index(c)) for c in ("x_id", "y_id", "x_shingles", "y_shingles")]
+            for x_id, y_id, x_sets, y_sets in zip(*of, strict=True):
+                x, y = (np.split(s.values.flatten().to_numpy(), np.cumsum(s.values.value_lengths().to_numpy())[:-1]) for s in (x_sets, y_sets))
+                both = common(x, y)
+                sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :]
+                i, j = np.nonzero(100 * both.astype(np.int64) >= percent * (sizes - both.astype(np.int64)))
+                found = merged(np.arange(len(x) + len(y)), i, j + len(x))
+                ids = np.concatenate([x_id.values.to_numpy(), y_id.values.to_numpy()])
+                moved = np.nonzero(ids != ids[found])[0]
+                a.append(ids[moved])
+                b.append(ids[found[moved]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(s)) for s in (a, b)], ["a", "b"])
+
+    met = meetings(ship(tiles), [(0,)]).select("x_id", "y_id", "x_shingles", "y_shingles")
+    return met.mapInArrow(compare, "a bigint, b bigint")
 
 
 def linked(found: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
@@ -223,64 +289,11 @@ def linked(found: DataFrame, docs: DataFrame, width: int, percent: int) -> tuple
     labels = components(links) if links.limit(1).count() else None
     rest = _open(_with_component(members.where("id <> hub"), labels))
     if rest is not None:
-        known = stored(rest.join(_profiles(rest, checked, texts, width), ["hub", "id"]), "known")
-        new = _within_reach(known, percent).join(compared, ["a", "b"], "left_anti")
-        more = verified(stored(new, "compared"), texts, width, percent).where("linked").select("a", "b")
-        links = stored(links.unionByName(more), "links")
+        links = stored(links.unionByName(links_within(rest, texts, width, percent)), "links")
         labels = components(links) if links.limit(1).count() else None
     return classes, labels
 
 
-def _profiles(rest: DataFrame, checked: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """``hub, id, n, a, e, u``: size of each open class, its shingles in the hub, shared outside it, and shared by no one."""
-    pairs = rest.select("hub", "id").distinct()
-    ids = pairs.select(F.col("id").alias("doc_id")).unionByName(pairs.select(F.col("hub").alias("doc_id"))).distinct()
-    own = own_shingles(texts.join(ids, "doc_id", "left_semi"), width)
-    sizes = checked.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("n_a").alias("n"), F.col("both").alias("a"), "n_b")
-    u = F.coalesce("u", F.lit(0))
-    step = F.greatest(F.lit(1), F.floor(F.col("n_b") / 50))
-    return pairs.join(sizes, ["hub", "id"]).join(own, "id", "left").select("hub", "id", "n", "a", (F.col("n") - F.col("a") - u).alias("e"), u.alias("u"), step.alias("step"))
-
-
-def _reachable(x: str, y: str, percent: int) -> Column:
-    """Whether two profiles allow the threshold: at most ``both`` common shingles, at least ``union`` in all."""
-    at = lambda s, c: F.col(f"{s}.{c}")
-    both = F.least(at(x, "a"), at(y, "a")) + F.least(at(x, "e"), at(y, "e"))
-    union = F.greatest(at(x, "n") + at(y, "n") - both, both + at(x, "u") + at(y, "u"))
-    return both * 100 >= union * percent
-
-
-def _within_reach(members: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` (a over b) of unconnected members of a bucket that can reach the threshold.
-
-    Profiles are rounded a and e up, n and u down, which only widens the reach
-    and leaves a bounded number of them per hub; members meet by way of the
-    profiles that reach each other, never all with all.
-    """
-    up = lambda c: F.ceil(F.col(c) / F.col("step")) * F.col("step")
-    down = lambda c: F.floor(F.col(c) / F.col("step")) * F.col("step")
-    one = members.groupBy("hub", "id").agg(*[F.first(c).alias(c) for c in ("component", "n", "a", "e", "u", "step")], F.collect_set("bucket").alias("buckets"))
-    one = one.withColumn("p", F.struct(down("n").alias("n"), up("a").alias("a"), up("e").alias("e"), down("u").alias("u")))
-    one = stored(one.select("hub", "p", F.struct("id", "component", "n", "a", "e", "u", "buckets").alias("x")), "one")
-    kinds = stored(one.groupBy("hub", "p").agg(F.min("x.component").alias("low"), F.max("x.component").alias("high")), "kinds")
-    x = kinds.withColumnRenamed("p", "x")
-    y = kinds.select("hub", F.col("p").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
-    apart = (F.col("low") != F.col("high_y")) | (F.col("high") != F.col("low_y"))
-    near = stored(x.join(y, "hub").where((F.col("x") <= F.col("y")) & apart & _reachable("x", "y", percent)).select("hub", F.col("x").alias("p"), F.col("y").alias("q")), "near")
-    left = one.join(near, ["hub", "p"])
-    right = one.select(F.col("hub").alias("hub_y"), F.col("p").alias("p_y"), F.col("x").alias("y"))
-    meet = (
-        (F.col("hub") == F.col("hub_y"))
-        & (F.col("q") == F.col("p_y"))
-        & (F.col("x.component") != F.col("y.component"))
-        & ((F.col("p") != F.col("q")) | (F.col("x.id") < F.col("y.id")))
-        & _reachable("x", "y", percent)
-        & F.arrays_overlap("x.buckets", "y.buckets")
-    )
-    pairs = left.join(right, meet)
-    return pairs.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct()
-
-
 def _open(members: DataFrame) -> DataFrame | None:
     """The members (``bucket, hub, id, component`` and more) of the buckets that hold several components; None if there are none."""
     members = stored(members, "rest")

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import as_long, binary_column, lower_ascii, ship, slices, stored, with_heavy_split
-from ledgerlark.llm.near_dedup import components
+from ledgerlark.llm.near_dedup import components, merged
 from ledgerlark.llm.tiles import finest_cells, meetings, tiles_of
 
 BITS = 64
@@ -88,17 +88,6 @@ def steps(parts: int, radius: int) -> list[tuple[int, ...]]:
     return found
 
 
-def merged(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``labels`` (each node's smallest connected node) after the links a - b are added."""
-    while True:
-        one, two = labels[a], labels[b]
-        if (one == two).all():
-            return labels
-        np.minimum.at(labels, np.maximum(one, two), np.minimum(one, two))
-        while (labels[labels] != labels).any():
-            labels = labels[labels]
-
-
 def connections(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
     """For the fingerprints of x, then y: the smallest place that each is connected with by links between the two."""
     labels = np.arange(len(x) + len(y))

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import merkle, simhash, spelling
+from ledgerlark.llm import merkle, near_dedup, simhash, spelling
 from ledgerlark.llm.queries import op13_merkle_manifest
 
 
@@ -230,3 +230,42 @@ def test_merkle_small_tables(spark):
 def test_merkle_query_columns(spark):
     got = op13_merkle_manifest(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def template_docs(members: int) -> list[tuple]:
+    """Texts of one template: 60 slots of two own words among 600; a few of them are near copies of another."""
+    rng = random.Random(members)
+    frame = [f"t{k}" for k in range(480)]
+    out = []
+    for i in range(members):
+        words = list(frame)
+        for k in range(60):
+            words[k * 8 : k * 8] = [f"x{rng.randrange(10**9)}", f"y{rng.randrange(10**9)}"]
+        out.append((i, " ".join(words)))
+    for i in range(0, members, 10):
+        out.append((members + i, out[i][1].replace(" t100 ", " changed ")))
+    return out
+
+
+@pytest.mark.parametrize("percent", [40, 85])
+def test_template_texts_are_not_paired_row_by_row(spark, percent):
+    rows = template_docs(60)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id int, text string"), 3, percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == llm_cases.jaccard_groups(dict(rows), 3, percent)
+
+
+def test_common_counts(monkeypatch):
+    monkeypatch.setattr(near_dedup, "COLUMNS", 5)
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60 if k % 2 else 4000, 80)) for k in range(40)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[25:]] for a in sets[:25]]
+    assert near_dedup.common(sets[:25], sets[25:]).tolist() == want
+
+
+@pytest.mark.parametrize("load", [400_000, 500])
+def test_links_within_a_hub(spark, monkeypatch, load):
+    monkeypatch.setattr(near_dedup, "TILE_SHINGLES", load)
+    rows = template_docs(40)
+    members = spark.createDataFrame([(0, i) for i, _ in rows], "hub bigint, id bigint")
+    found = near_dedup.links_within(members, spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 85).collect()
+    assert {frozenset((r.a, r.b)) for r in found} == {frozenset((40 + i, i)) for i in range(0, 40, 10)}

@@ -5,7 +5,12 @@ each label, path segments with their place, the shape of numbers, extension,
 query keys and pairs, fragment. Labelled urls are transactions of these tokens
 and their label. Frequent token sets with a label give rules; a rule stays
 when its support and confidence reach the thresholds and no rule for the same
-verdict on a part of its tokens is as confident. Urls are matched by an
+verdict on a part of its tokens is as confident. Tokens that occur in exactly
+the same labelled urls are mined as one item, and tokens of all labelled urls
+not at all, so a long url costs one item for all that only it (and its copies)
+has; the rules are then spelled out for every token of an item, which gives
+the rules of all token sets. Tokens nested in each other (each in fewer urls
+than the one before) are still mined one by one. Urls are matched by an
 inverted index that lists each rule under its rarest token; the rules found
 there fit when the url has their other tokens too. The most confident fitting
 rule decides (then the larger support, the longer rule, the rule text), so an
@@ -21,6 +26,7 @@ judged one by one; other columns pass through unchanged.
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.ml.fpm import FPGrowth
@@ -31,7 +37,9 @@ from ledgerlark.llm.common import stored
 
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.6
-#: Index rows that are broadcast at most; a larger index is joined by a shuffle.
+#: Labelled urls that a rule needs at least, however few there are.
+MIN_ROWS = 2
+#: Rows of an index or of a list of tokens that are broadcast at most; a larger one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 ALLOW, BLOCK = "allow", "block"
@@ -131,30 +139,89 @@ def _unrepeated(rules: DataFrame) -> DataFrame:
     return out
 
 
+def _classes(rows: DataFrame, least: int) -> DataFrame:
+    """``token, rep, freq`` of the tokens in ``least`` rows or more of ``rows`` (``_row, tokens``).
+
+    Tokens that occur in exactly the same rows share the smallest of them as ``rep``: proposed by two hashes of the
+    rows, confirmed by the number of rows that hold both.
+    """
+    each = rows.select("_row", F.explode("tokens").alias("token"))
+    seen = each.groupBy("token").agg(F.count("*").alias("freq"), F.bit_xor(F.xxhash64("_row")).alias("h1"), F.bit_xor(F.xxhash64("_row", F.lit(1))).alias("h2"))
+    seen = stored(seen.where(F.col("freq") >= least), "tokens")
+    reps = seen.groupBy("freq", "h1", "h2").agg(F.min("token").alias("rep"))
+    named = stored(seen.join(reps, ["freq", "h1", "h2"]).select("token", "rep", "freq"), "named")
+    others = _small(named.where("token <> rep"))
+    both = rows.select("tokens", F.explode("tokens").alias("token")).join(others, "token").where(F.array_contains("tokens", F.col("rep")))
+    both = both.groupBy("token").agg(F.count("*").alias("both"))
+    rep = F.when((F.col("token") == F.col("rep")) | (F.col("both") == F.col("freq")), F.col("rep")).otherwise(F.col("token"))
+    return stored(named.join(both, "token", "left").select("token", rep.alias("rep"), "freq"), "classes")
+
+
+def _small(written: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast if it has ``BROADCAST_ROWS`` rows at most."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
+def _frequent(rows: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """``tokens, label, freq`` of the sets of ``rep`` tokens, with and without a label, in ``least`` rows or more.
+
+    Tokens that every row has are left out of the mining, as they change the count of no set; each is a set by itself.
+    """
+    total = rows.count()
+    sizes = [(None, total), *((r["verdict"], r["count"]) for r in rows.groupBy("verdict").count().collect())]  # two labels
+    each = F.array(*[F.struct(F.lit(label).cast("string").alias("label"), F.lit(n).cast("long").alias("freq")) for label, n in sizes if n >= least])
+    everywhere = classes.where(F.col("freq") == total).select("rep").distinct()
+    whole = everywhere.select(F.array("rep").alias("tokens"), F.explode(each).alias("of")).select("tokens", "of.label", "of.freq")
+    some = _small(classes.where(F.col("freq") < total).select("token", "rep"))
+    items = rows.select("_row", "verdict", F.explode("tokens").alias("token")).join(some, "token").groupBy("_row", "verdict").agg(F.collect_set("rep").alias("reps"))
+    items = stored(items.select(F.array_append("reps", F.concat(F.lit(_LABEL), F.col("verdict"))).alias("items")), "transactions")
+    n = items.count()
+    if n < least:
+        return whole
+    # a fraction half a row below the count, so that rounding cannot move it
+    frequent = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n).fit(items).freqItemsets
+    is_label = lambda x: x.startswith(_LABEL)
+    found = frequent.select(
+        F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),
+        F.substr(F.get(F.filter("items", is_label), F.lit(0)), F.lit(len(_LABEL) + 1)).alias("label"),
+        F.col("freq"),
+    )
+    return found.where(F.size("tokens") > 0).unionByName(whole)
+
+
+def _spelled_out(rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each rule with every choice of a token for each of its classes."""
+    members = classes.groupBy("rep").agg(F.collect_list("token").alias("members"))
+    each = rules.select("tokens", F.explode("tokens").alias("rep")).distinct().join(members, "rep")
+    ways = each.groupBy("tokens").agg(F.collect_list("members").alias("members"))
+    none = F.array(F.array().cast("array<string>"))
+    longer = lambda have, more: F.flatten(F.transform(have, lambda h: F.transform(more, lambda t: F.array_append(h, t))))
+    ways = ways.select("tokens", F.explode(F.aggregate("members", none, longer)).alias("way"))
+    return rules.join(ways, "tokens").withColumn("tokens", F.array_sort("way")).drop("way")
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``rule, tokens, rarest, verdict, support, confidence`` from ``url, verdict``."""
+    """``rule, tokens, rarest, verdict, support, confidence`` from ``url, verdict``.
+
+    A rule needs ``min_support`` of the labelled urls, and two of them at least.
+    """
     spark = labelled.sparkSession
     schema = "rule string, tokens array<string>, rarest string, verdict string, support bigint, confidence double"
     rows = with_tokens(labelled.select("url", "verdict").where(F.col("verdict").isin(ALLOW, BLOCK))).where(F.size("tokens") > 0)
-    rows = stored(rows.select(F.array_append("tokens", F.concat(F.lit(_LABEL), F.col("verdict"))).alias("items")), "transactions")
-    if rows.limit(1).count() == 0:
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("_row"), "tokens", "verdict"), "labelled")
+    least = max(MIN_ROWS, math.ceil(min_support * rows.count()))
+    if rows.limit(least).count() < least:
         return spark.createDataFrame([], schema)
-    frequent = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows).freqItemsets
-    is_label = lambda x: x.startswith(_LABEL)
-    named = frequent.select(
-        F.array_sort(F.filter("items", lambda x: ~is_label(x))).alias("tokens"),
-        F.get(F.filter("items", is_label), F.lit(0)).alias("label"),
-        F.col("freq"),
-    )
+    classes = _classes(rows, least)
     # a set with an implied token is as frequent, with and without a label, as the set without it: its rule is superfluous
-    named = stored(named.where((F.size("tokens") > 0) & ~_implied(F.col("tokens"))), "itemsets")
+    named = stored(_frequent(rows, classes, least).where(~_implied(F.col("tokens"))), "itemsets")
     whole = named.where("label is null").select("tokens", F.col("freq").alias("all"))
     rules = named.where("label is not null").join(whole, "tokens")
-    rules = rules.select("tokens", F.substr("label", F.lit(len(_LABEL) + 1)).alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("all")).alias("confidence"))
+    rules = rules.select("tokens", F.col("label").alias("verdict"), F.col("freq").alias("support"), (F.col("freq") / F.col("all")).alias("confidence"))
     kept = stored(_unrepeated(stored(rules, "rules")).where(F.col("confidence") >= min_confidence), "unrepeated")
-    single = named.where("label is null and size(tokens) = 1").select(F.col("tokens")[0].alias("token"), F.col("freq").alias("times"))
-    each = kept.select("tokens", F.explode("tokens").alias("token")).distinct().join(single, "token")
-    rarest = each.groupBy("tokens").agg(F.min(F.struct("times", "token"))["token"].alias("rarest"))
+    kept = stored(_spelled_out(kept, classes), "spelled_out")
+    each = kept.select("tokens", F.explode("tokens").alias("token")).distinct().join(classes.select("token", "freq"), "token")
+    rarest = each.groupBy("tokens").agg(F.min(F.struct("freq", "token"))["token"].alias("rarest"))
     return stored(kept.join(rarest, "tokens").select(F.array_join("tokens", " ").alias("rule"), "tokens", "rarest", "verdict", "support", "confidence"), "pruned")
 
 
@@ -171,7 +238,7 @@ def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, fixed: tuple[HostRule, ...] = ()) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (fixed, or null), ``verdict``, ``mined_rule`` and ``confidence``."""
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "mined_rule", "confidence")]
-    found = match(pages.where("url is not null").select("url").distinct(), rules)
+    found = match(pages.where("url is not null").select("url"), rules)  # tokens are cut in the tasks that read the pages
     found = found.withColumnRenamed("url", "_url")
     out = pages.select(*own).join(found, F.col("url") == F.col("_url"), "left").drop("_url")
     out = out.withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})

@@ -104,6 +104,12 @@ def tiles(matches: list[tuple[int, int, int]], item_tokens: int, min_tile: int)
     return out
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the ranges that begin at ``start`` and have ``size`` members, and the range of each."""
+    which = np.repeat(np.arange(len(start)), size)
+    return start[which] + np.arange(len(which)) - (np.cumsum(size) - size)[which], which
+
+
 class Items:
     """The benchmark items of a block, with their seeds in hash order."""
 
@@ -121,6 +127,7 @@ class Items:
                 store.setdefault(width, []).append(part)
             self.ids.append(item)
             self.words.append(own)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.seeds = {}
         for width in seeds:
             found = np.concatenate(seeds[width])
@@ -141,16 +148,18 @@ class Items:
             row = np.searchsorted(ends, hit, side="right")
             inside = hit + width <= ends[row]  # a seed does not run across two documents
             hit, row = hit[inside], row[inside]
-            for r in np.unique(row).tolist():
+            if not len(hit):
+                continue
+            high = np.searchsorted(seeds, found[hit], side="right")
+            low, edges = low[hit], np.flatnonzero(np.diff(row, prepend=-1))
+            for begin_at, end_at in zip(edges.tolist(), [*edges[1:].tolist(), len(row)], strict=True):
+                r = int(row[begin_at])
                 begin = int(ends[r - 1]) if r else 0
-                at = hit[row == r]
-                times = np.searchsorted(seeds, found[at], side="right") - low[at]
-                which = np.repeat(low[at], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                doc_at, items, item_at = np.repeat(at, times) - begin, owner[which], place[which]
-                for k in np.unique(items).tolist():
-                    mine = items == k
-                    item, own = self.words[k], all_words[begin : int(ends[r])]
-                    real = [m for m in maximal_matches(doc_at[mine], item_at[mine], width) if (own[m[1] : m[1] + m[0]] == item[m[2] : m[2] + m[0]]).all()]
+                own = all_words[begin : int(ends[r])]
+                at, first, last = hit[begin_at:end_at] - begin, low[begin_at:end_at], high[begin_at:end_at]
+                for k, doc_at, item_at in self._seeded(at, first, last, owner, place, width, percent):
+                    item = self.words[k]
+                    real = [m for m in maximal_matches(doc_at, item_at, width) if (own[m[1] : m[1] + m[0]] == item[m[2] : m[2] + m[0]]).all()]
                     if sum(m[0] for m in real) * 100 < percent * len(item):
                         continue
                     tiled = tiles(real, len(item), min(width, self.min_tile))
@@ -158,6 +167,37 @@ class Items:
                     if tiled and covered * 100 >= percent * len(item):
                         yield r, self.ids[k], len(item), covered, len(tiled), tiled[0][0]
 
+    def _seeded(self, at: np.ndarray, first: np.ndarray, last: np.ndarray, owner: np.ndarray, place: np.ndarray, width: int, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(item, document positions, item positions) of the seeds of each item that they can cover to ``percent``.
+
+        ``first`` and ``last`` bound the block's seeds that equal the document's seed at ``at``. Every seed of the
+        block is taken once, however often the document has it, and what an item's seeds cover together bounds what
+        tiles can cover; only the items within reach are paired with every place in the document.
+        """
+        starts, group = np.unique(first, return_inverse=True)  # one start per distinct seed
+        stops = np.zeros(len(starts), np.int64)
+        stops[group] = last
+        seed, seed_of = _ranges(starts, stops - starts)
+        order = np.lexsort((place[seed], owner[seed]))
+        seed, seed_of = seed[order], seed_of[order]
+        items, spots = owner[seed], place[seed]
+        edges = np.flatnonzero(np.diff(items, prepend=-1))
+        reach = np.full(len(seed), width)
+        same = items[1:] == items[:-1]
+        reach[:-1][same] = np.minimum(width, spots[1:] - spots[:-1])[same]
+        near = np.add.reduceat(reach, edges) * 100 >= percent * self.sizes[items[edges]]
+        keep = np.repeat(near, np.diff(edges, append=len(seed)))
+        seed, seed_of = seed[keep], seed_of[keep]
+        if not len(seed):
+            return
+        by_seed = np.argsort(group, kind="stable")  # the document's places, seed by seed
+        times = np.bincount(group, minlength=len(starts))
+        where, pick = _ranges((np.cumsum(times) - times)[seed_of], times[seed_of])
+        items, item_at, doc_at = owner[seed][pick], place[seed][pick], at[by_seed[where]]
+        edges = np.flatnonzero(np.diff(items, prepend=-1))  # the seeds are in the order of the items still
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(items)], strict=True):
+            yield int(items[a]), doc_at[a:b], item_at[a:b]
+
 
 def _blocks(items: DataFrame) -> Iterator[DataFrame]:
     """``items`` in blocks that hold ``BLOCK_BYTES`` of text at most, or a single item."""

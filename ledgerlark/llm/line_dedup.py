@@ -1,8 +1,8 @@
 """Reversible line dedup: exact reference counts behind sharded cuckoo filters.
 
-The store has three tables. ``postings`` has a row per document and line key
-it holds, ``refs`` the exact number of documents of each key and the largest
-doc_id among them (the keeper), and ``filters`` one cuckoo filter per shard of
+The store has three tables. ``postings`` has a row per distinct doc_id and
+line key it holds, ``refs`` the exact number of doc_ids of each key and the
+largest among them (the keeper), and ``filters`` one cuckoo filter per shard of
 the key space with the *live* keys, those held by ``min_docs`` documents or
 more. Inserting documents adds to the counts, deleting documents takes from
 them; only keys that cross ``min_docs`` are put into or taken out of the
@@ -13,9 +13,12 @@ never costs a line and a deletion brings lines back.
 Keys are distinct wherever they are grouped by shard, and the number of shards
 follows the number of keys, so a shard is bounded however often a line occurs.
 
-Defined results: a null or empty text is one empty line; a row is a document;
-rows that share the largest doc_id of a key all keep its lines; an empty table
-gives an empty result; other columns pass through unchanged.
+Defined results: a null or empty text is one empty line; rows that share a
+doc_id, in one insert or in several, are one document with the lines of all of
+them: it counts once, and if it is the keeper all its rows keep the line; each
+row gives a row of its own; rows without a doc_id count for nothing and keep
+all their lines; an empty table gives an empty result; other columns pass
+through unchanged.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.llm.common import binary_column, column, lower_ascii, ship, slices, stored, with_heavy_split
+from ledgerlark.llm.common import binary_column, by_ids, column, lower_ascii, ship, slices, stored, with_heavy_split
 
 MIN_DOCS = 3
 MIN_CHARS = 20
@@ -114,7 +117,7 @@ class CuckooFilter:
 
 
 def postings_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """A row per document and distinct key it holds."""
+    """A row per distinct doc_id and key that one of its rows holds."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -125,7 +128,13 @@ def postings_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 ids += [doc] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["key", "doc_id"])
 
-    return ship(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(split, POSTINGS)
+    slim = ship(docs).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    repeated = slim.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("_id")), "repeated")
+    if not repeated.limit(1).count():
+        return slim.mapInArrow(split, POSTINGS)
+    once, more = by_ids(slim, repeated, "left_anti"), by_ids(slim, repeated, "left_semi")
+    return once.mapInArrow(split, POSTINGS).unionByName(more.mapInArrow(split, POSTINGS).distinct())
 
 
 def _counted(postings: DataFrame) -> DataFrame:
@@ -157,6 +166,9 @@ class LineStore:
         new = stored(postings_of(docs, self.min_chars), "postings")
         if not self.shards:
             return self._next(new, stored(_counted(new), "refs"), self.refs)
+        # a doc_id that is in the store already adds only the keys it did not hold
+        known = stored(self.postings.join(new.select("doc_id").distinct(), "doc_id", "left_semi").select("key", "doc_id"), "known")
+        new = stored(new.join(known, ["key", "doc_id"], "left_anti"), "added")
         both = self.refs.unionByName(_counted(new))
         refs = both.groupBy("key").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
         return self._next(self.postings.unionByName(new), stored(refs, "refs"), self.refs)

@@ -45,10 +45,10 @@ FROM counted"""
 
 def line_dedup() -> str:
     return f"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+lines AS (
+  SELECT r, doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos
+  FROM numbered),
 keyed AS (
   SELECT *, {_LOWER.format(f"trim(line, {_BLANKS})")} AS key FROM lines),
 live AS (
@@ -58,7 +58,7 @@ marked AS (
   SELECT k.*, coalesce(l.keeper <> k.doc_id, false) AS dropped FROM keyed k LEFT JOIN live l USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
-FROM marked GROUP BY doc_id"""
+FROM marked GROUP BY r, doc_id"""
 
 
 def near_dedup() -> str:
@@ -86,21 +86,21 @@ FROM documents d JOIN least l ON l.node = d.doc_id LEFT JOIN sizes s ON s.doc_id
 
 def substring_dedup() -> str:
     return f"""
-WITH base AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+WITH base AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
 windows AS (
-  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g FROM base, unnest(range(1, len(w) - 48)) AS s(i)),
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g FROM base, unnest(range(1, len(w) - 48)) AS s(i)),
 late AS (
-  SELECT doc_id, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id),
+  SELECT r, i FROM windows QUALIFY min(doc_id) OVER (PARTITION BY g) < doc_id),
 gone AS (
-  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM late),
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS p FROM late),
 words AS (
-  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM base),
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM base),
 kept AS (
-  SELECT words.doc_id, count(*) AS n_words, count(gone.p) AS n_removed,
+  SELECT words.r, count(*) AS n_words, count(gone.p) AS n_removed,
          sha256(coalesce(string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL), '')) AS kept_sha256
-  FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY words.doc_id)
+  FROM words LEFT JOIN gone ON gone.r = words.r AND gone.p = words.p GROUP BY words.r)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256
-FROM documents d LEFT JOIN kept USING (doc_id)"""
+FROM base d LEFT JOIN kept USING (r)"""
 
 
 CRC32 = """

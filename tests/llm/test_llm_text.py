@@ -5,11 +5,12 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import xxhash
 from llm_cases import UPPER, documents, jaccard_groups, words
 
-from ledgerlark.llm import line_dedup, near_dedup, quality_rules, substring_dedup
+from ledgerlark.llm import line_dedup, near_dedup, quality_rules, queries, substring_dedup
 
 
 def test_quality_counts(docs, no_docs):
@@ -50,7 +51,7 @@ def _lines(rows, min_docs=3):
         for k in {key(x) for x in (text or "").split("\n")}:
             if len(k) >= 20:
                 holders.setdefault(k, []).append(doc)
-    gone = {k: max(h) for k, h in holders.items() if len(h) >= min_docs}
+    gone = {k: max(h) for k, h in holders.items() if len(set(h)) >= min_docs}
     return sorted((doc, "\n".join(x for x in (text or "").split("\n") if gone.get(key(x), doc) == doc)) for doc, text, *_ in rows)
 
 
@@ -76,6 +77,38 @@ def test_line_store_is_reversible(spark):
     assert store.shards > 1 and store.filters.count() == store.shards
 
 
+def test_repeated_and_missing_doc_ids(spark):
+    """Rows that share a doc_id are one document, within an insert and over several; a row without one keeps its lines."""
+    a, b, c = ("the first long line of them", "another long line, the second", "a third long line, held by few")
+    rows = [(1, a), (2, a), (2, a), (3, b), (4, f"{b}\n{a}"), (4, b), (5, b), (5, c), (5, c), (6, c)]
+    make = lambda some: spark.createDataFrame(some, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup(make(rows)).collect())
+    assert got == _lines(rows) and len(got) == len(rows) and (3, "") in got and (6, c) in got
+    nameless = line_dedup.dedup(make([*rows[:2], (None, a), (None, a)])).collect()
+    assert all(r["text"] == a for r in nameless) and len(nameless) == 4
+    store = line_dedup.LineStore.empty(spark).insert(make(rows[:3])).insert(make([(2, a), (2, b)]))
+    assert {r["n_docs"] for r in store.refs.collect()} == {1, 2} and store.drops().count() == 0
+    store = store.insert(make([(7, a)]))
+    assert {r["doc_id"] for r in store.drops().collect()} == {1, 2}
+    assert store.delete(make([(2, "")])).drops().count() == 0
+
+
+def test_repeated_doc_ids_match_sql(spark, tmp_path):
+    """The queries of op5 and op10 on a table with repeated doc_ids: a row for each row, as in their SQL."""
+    line = "a long line that several documents hold"
+    rows = [(1, line), (2, line), (2, line), (3, f"{line}\nmore"), (3, "more"), (4, None)]
+    words = " ".join(f"w{i}" for i in range(70))
+    rows += [(5, words), (6, words), (6, "x " + words), (7, words), (7, words)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("op5_line_dedup", "op10_substring_dedup"):
+        want = con.execute(queries.SQL[name]).df()
+        got = queries.QUERIES[name](spark, str(tmp_path)).toPandas()[list(want.columns)]
+        key = lambda df: sorted(df.itertuples(index=False, name=None))
+        assert key(got) == key(want) and len(got) == len(rows)
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(1)
     one = rng.integers(0, 2**63, 1000).astype(np.uint64)

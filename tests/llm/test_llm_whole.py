@@ -285,3 +285,55 @@ def test_registered_packing_and_leaks(spark):
     for r in [r for r in found if len(words(texts[r["doc_id"]])) < 300][:5]:
         item = words(items[r["item_id"]])
         assert (r["covered"], r["tiles"], r["longest"]) == _naive_tiling(words(texts[r["doc_id"]]), item, min(decontamination.MIN_TILE, len(item))) and r["item_tokens"] == len(item)
+
+
+def test_long_labelled_url_is_one_item(spark):
+    """Forty segments that only one url (with a copy) has, and as many in a url of its own: neither doubles per token."""
+    deep = "http://deep.org/" + "/".join(f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40))
+    rows = [(f"http://a{i % 3}.site.org/{'x' if i % 2 else 'y'}", "block" if i % 2 else "allow") for i in range(40)]
+    rows += [(deep, "block"), (deep, "block"), (deep.replace("/s", "/t"), "block")]
+    labelled = spark.createDataFrame(rows, "url string, verdict string")
+    rules = url_rules.mine(labelled, 0.002, 0.6)
+    got = {(r["rule"], r["verdict"], r["support"]) for r in rules.collect()}
+    assert sum(rule.startswith("path") and len(rule.split(" ")) == 1 and n == 2 for rule, _, n in got) >= 40
+    assert not any("=t" in rule for rule, *_ in got)  # one row supports nothing
+    assert {r["url"]: r["verdict"] for r in url_rules.judge(labelled.select("url"), rules).collect()}[deep] == "block"
+
+
+def test_tokens_of_every_labelled_url(spark):
+    """What all urls share is a rule by itself, once, with the share of its labels."""
+    rows = [(f"https://site.org/{'x' if i < 3 else 'y'}", "block" if i < 3 else "allow") for i in range(10)]
+    got = {r["rule"]: (r["verdict"], r["support"]) for r in url_rules.mine(spark.createDataFrame(rows, "url string, verdict string"), 0.1, 0.6).collect()}
+    assert got["scheme=https"] == ("allow", 7) and got["path0=x"] == ("block", 3) and got["path0=y"] == ("allow", 7)
+
+
+def test_items_that_share_a_prompt(monkeypatch):
+    """Thousands of items begin alike: only those that their seeds can cover are paired with the places in the text."""
+    rng = random.Random(12)
+    prompt = [f"p{k}" for k in range(11)]
+    item = lambda k: " ".join([*prompt, *(f"i{k}_{j}" for j in range(25))]).encode()
+    rows = [(k, item(k)) for k in range(4_000)]
+    block = decontamination.Items(rows, 5)
+    paired = []
+    matches = decontamination.maximal_matches
+    monkeypatch.setattr(decontamination, "maximal_matches", lambda d, i, w: paired.append(len(d)) or matches(d, i, w))
+    noise = lambda n: " ".join(f"n{rng.randrange(300)}" for _ in range(n)).encode()
+    texts = [b" ".join([*(" ".join(prompt).encode(), noise(20)) * 30]), item(7), b"x " + item(9) + b" " + noise(9) + b" " + item(11), noise(50)]
+    hashes = decontamination.WordHashes()
+    got = list(block.match(texts, hashes, 50))
+    assert [(r, k, covered, n) for r, k, _, covered, n, _ in got] == [(1, 7, 36, 1), (2, 9, 36, 1), (2, 11, 36, 1)]
+    assert len(paired) == 3  # not one per item that shares the prompt
+
+
+def test_tiling_in_a_block_is_that_of_each_item_alone():
+    """Blocks, repeated seeds and short items change nothing: random texts over few words."""
+    rng = random.Random(13)
+    text = lambda n: " ".join(rng.choice("abcd") for _ in range(n)).encode()
+    items = [(k, text(rng.choice((2, 4, 7, 15, 30)))) for k in range(25)]
+    texts = [text(rng.randrange(60)) for _ in range(40)]
+    hashes = decontamination.WordHashes()
+    got = sorted(decontamination.Items(items, 5).match(texts, hashes, 50))
+    want = sorted((r, k, *rest) for k, t in items for r, _, *rest in decontamination.Items([(k, t)], 5).match(texts, hashes, 50))
+    assert got == want and len(got) > 50
+    naive = {(r, k): _naive_tiling(decontamination.tokens(t), decontamination.tokens(i), min(5, len(decontamination.tokens(i)))) for r, t in enumerate(texts) for k, i in items}
+    assert {(r, k): tuple(rest) for r, k, _, *rest in got} == {p: (c, n, m) for p, (c, n, m) in naive.items() if c and c * 100 >= 50 * len(decontamination.tokens(dict(items)[p[1]]))}

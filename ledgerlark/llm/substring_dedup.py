@@ -20,7 +20,9 @@ document is compared with more hubs than it has anchors.
 
 Defined results: a null, empty or blank text has no words; a text with fewer
 words than a window loses none; rows that share a doc_id are not smaller than
-each other; an empty table gives an empty result; other columns pass through.
+each other and should hold the same text (spans belong to a doc_id: of rows
+that differ, each loses the places that any of them loses); an empty table
+gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations

@@ -94,11 +94,11 @@ def test_repeated_and_missing_doc_ids(spark):
 
 
 def test_repeated_doc_ids_match_sql(spark, tmp_path):
-    """The queries of op5 and op10 on a table with repeated doc_ids: a row for each row, as in their SQL."""
+    """The queries of op5 and op10 on a table with repeated doc_ids (for op10, of equal texts): a row for each row, as in their SQL."""
     line = "a long line that several documents hold"
     rows = [(1, line), (2, line), (2, line), (3, f"{line}\nmore"), (3, "more"), (4, None)]
     words = " ".join(f"w{i}" for i in range(70))
-    rows += [(5, words), (6, words), (6, "x " + words), (7, words), (7, words)]
+    rows += [(5, words), (6, "x " + words), (6, "x " + words), (7, words), (7, words)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")

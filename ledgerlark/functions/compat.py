@@ -119,17 +119,6 @@ def distinct_joined(x: ColumnOrName, sep: str = " | ") -> Column:
     return F.when(F.size(s) > 0, F.array_join(s, sep))
 
 
-def count_distinct_category(x: ColumnOrName) -> Column:
-    """``count(distinct x)`` for a low-cardinality category (a handful of codes).
-
-    ``size(collect_set(x))`` merges map-side and its buffer is bounded by the
-    category's domain, so it needs no extra exchange on (group, value) the
-    way the general distinct-aggregate rewrite does.  Not for id columns: a
-    hot group's set of ids would grow with the data; use ``count_distinct``.
-    """
-    return F.size(F.collect_set(_c(x))).cast("bigint")
-
-
 def safe_bigint(x: ColumnOrName) -> Column:
     """``safe_cast(x as int64)`` of a text column: NULL where the text is no integer.
 

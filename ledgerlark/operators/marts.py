@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.compat import count_distinct_category, count_if, greatest_nullprop, money_sum, safe_div
+from ..functions.compat import count_if, greatest_nullprop, money_sum, safe_div
+from .categories import distinct_category
 
 HOME_CURRENCY = "currency 1"  # Fixed value: the only currency money totals are summed in.
 
@@ -17,12 +18,13 @@ def mart_customer_credit_history(enriched: DataFrame) -> DataFrame:
     credit = F.when(home, F.col("AMT_CREDIT_SUM"))
     n = F.count(F.lit(1))
     has_hist = count_if(F.col("has_monthly_history"))
-    return enriched.groupBy("SK_ID_CURR").agg(
+    coded, credit_types = distinct_category(enriched, "CREDIT_TYPE")
+    return coded.groupBy("SK_ID_CURR").agg(
         n.alias("total_bureau_loans"),
         count_if(F.col("CREDIT_ACTIVE") == "Active").alias("active_loans"),
         count_if(F.col("CREDIT_ACTIVE") == "Closed").alias("closed_loans"),
         count_if(F.col("CREDIT_ACTIVE") == "Bad debt").alias("bad_debt_loans"),
-        count_distinct_category("CREDIT_TYPE").alias("distinct_credit_types"),
+        credit_types.alias("distinct_credit_types"),
         (F.lit(-1) * F.max("DAYS_CREDIT")).alias("days_since_newest_loan"),
         (F.lit(-1) * F.min("DAYS_CREDIT")).alias("days_since_oldest_loan"),
         count_if(F.col("DAYS_CREDIT") >= -365).alias("loans_opened_last_year"),

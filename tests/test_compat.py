@@ -72,11 +72,6 @@ def test_money_sum_is_order_independent(spark):  # T18
     assert a == b == 60.0
 
 
-def test_category_distinct_count(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (1, None)], "g int, x string")
-    assert df.groupBy("g").agg(C.count_distinct_category("x")).first()[1] == 2
-
-
 def test_safe_cast_status(spark):  # T4
     df = spark.createDataFrame([("3",), ("C",), ("X",), ("0",), (None,)], "s string")
     assert [r[0] for r in df.select(F.col("s").try_cast("bigint")).collect()] == [3, None, None, 0, None]

@@ -149,6 +149,34 @@ def test_classifier_learns_from_every_chunk(monkeypatch):
         assert np.allclose(v, few[k], atol=1e-5), k
 
 
+def test_classifier_memory_does_not_follow_the_text(monkeypatch):
+    """Slopes of a batch with a long text are the same whatever is kept of the first pass; no more chunks are made at once than fit."""
+    texts = [bytes((i * i + k) % 253 for i in range(n)) for k, n in enumerate((60_000, 0, 5_000, 448, 449, 64))]
+    w = quality_classifier._start(np.random.default_rng(2))
+    w["out"] = np.random.default_rng(3).normal(0, 0.3, w["out"].shape).astype(np.float32)
+    y = np.array([0, 1, 0, 1, 1, 0], np.float32)
+    whole = quality_classifier._slopes([quality_classifier.chunks(t) for t in texts], y, w)
+    made, chunks = [], quality_classifier.chunks
+    monkeypatch.setattr(quality_classifier, "chunks", lambda t: made.append(len(out := chunks(t))) or out)
+    monkeypatch.setattr(quality_classifier, "_HELD", 1)
+    for k, v in quality_classifier._slopes([quality_classifier.Chunked(t) for t in texts], y, w).items():
+        assert np.allclose(v, whole[k], atol=1e-6), k
+    assert max(made) == quality_classifier._TOGETHER and sum(made) > 1.4 * sum(len(chunks(t)) for t in texts)
+    for t in texts:
+        lazily = quality_classifier.Chunked(t)
+        assert len(lazily) == len(chunks(t)) and all(np.array_equal(lazily[k : k + 2], chunks(t)[k : k + 2]) for k in range(len(lazily)))
+
+
+def test_classifier_sample_is_bounded_by_bytes(spark):
+    rows = [(i, "é" * 500, i % 2) for i in range(40)] + [(99, None, 1), (98, "", 0)]
+    drawn = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    some = quality_classifier._within(drawn, 5_500).collect()
+    for q in (0, 1):
+        own = [r for r in some if r["quality"] == q]
+        assert sum(bool(r["text"]) for r in own) == 6 and all(r["text"] in ("é" * 500, "", None) for r in own)
+    assert quality_classifier._within(drawn, 1 << 30).count() == len(rows)
+
+
 def test_documents_without_an_id(spark):
     """Kept by near dedup; kept or dropped by decontamination for what they hold."""
     rng = random.Random(5)
@@ -257,6 +285,69 @@ def test_registered_pii_columns(spark):
         assert all(r[f"n_{k}"] == sum(s[2] == k for s in plain) for k in pii.KINDS)
 
 
+def _luhn(digits):
+    """By the table of doubled digits, from the right."""
+    doubled = dict(zip("0123456789", (0, 2, 4, 6, 8, 1, 3, 5, 7, 9), strict=True))
+    return sum(doubled[c] if k % 2 else int(c) for k, c in enumerate(digits[::-1])) % 10 == 0
+
+
+def _personal(text):
+    """The contract's base spans, told again: kind:start:end by start, then kind."""
+    ways = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s, n: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s, n: max(map(int, s.split("."))) <= 255),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda s, n: 12 <= len(n) <= 19 and _luhn(n)),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s, n: 9 <= len(n) <= 15),
+    }
+    out = []
+    for rank, (kind, (pattern, fits)) in enumerate(ways.items()):
+        at = 0
+        while m := re.compile(pattern).search(text, at):
+            digits = "".join(c for c in m[0] if c in "0123456789")
+            out += [(m.start(), rank, m.end(), kind)] if fits(m[0], digits) else []
+            at = m.end()
+    return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(out)]
+
+
+CARD = "4111 1111 1111 1111"
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        (f"😀 {CARD}, 4111-1111-1111-1112", ["card:2:21"]),
+        ("1.2.3.4 1.2.3.256 0001.2.3.4.5", ["ip:0:7", "ip:18:28"]),
+        ("a@b a@b.c x..y@z-.q", ["email:4:9", "email:10:19"]),
+        ("+1 (555) 123-4567 +12345678 +123456789", ["phone:0:17", "phone:28:38"]),
+        ("378282246310005, 3782822463100050, 79927398713; 378282246310005 1", ["card:0:15"]),
+        ("", []),
+    ],
+)
+def test_plain_personal_data(text, want):
+    listed = [f"{k}:{a}:{b}" for a, b, k in pii._listed(pii.plain_spans(text))]
+    assert listed == want == _personal(text)
+
+
+def test_plain_personal_data_of_random_texts():
+    rng, found = random.Random(6), Counter()
+    parts = ["+", ".", "@", "-", " ", "(", ")", "a", "b.c", "1", "25", "255", "256", "4111", "1111", "é", "\n", "_", "%", CARD, "10.0.0.1", "555"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        want = _personal(text)
+        assert [f"{k}:{a}:{b}" for a, b, k in pii._listed(pii.plain_spans(text))] == want, text
+        found.update(s.split(":")[0] for s in want)
+    assert min(found[k] for k in pii.KINDS) > 50
+
+
+def test_registered_pii_against_plain_version(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    for r in _registered(spark, "op8_pii"):
+        base = _personal(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(r["spans"].split(","))
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s.startswith(f"{k}:") for s in base) for k in pii.KINDS]
+
+
 def test_registered_url_labels(spark):
     """Pages whose number has a label decide the mined rules: support and confidence counted by hand."""
     bad = {r["doc_id"]: r["quality"] == 0 or r["toxic"] == 1 for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}

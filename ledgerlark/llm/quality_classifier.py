@@ -7,8 +7,11 @@ mean and the maximum of these over the chunks of a document go through a
 logistic unit to one probability.
 
 The network is fitted in one task on about ``SAMPLE`` labelled rows per class (a
-parameter; rows by the hash of their id). Training, like scoring, uses every
-chunk of every text, a bounded number of them at a time.
+parameter; rows by the hash of their id) and, where these are long, on the first
+of them that make up ``SAMPLE_BYTES`` (a parameter too), whole texts always.
+Training, like scoring, uses every chunk of every text. Both hold a bounded
+number of chunks at a time: training goes over a batch's chunks twice and works
+out again, the second time, what it had no room to keep.
 
 Defined results: a null or empty text is one chunk of padding and gets a score
 like any other; without training rows of both classes every score is their
@@ -18,12 +21,12 @@ scored one by one; other columns pass through unchanged.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,9 +35,13 @@ from ledgerlark.llm.common import binary_column, ship, slices, stored
 CHUNK, OVERLAP = 512, 64
 EMBED, WIDTH, STRIDE, FILTERS = 6, 12, 4, 32
 SAMPLE = 1500
+#: UTF-8 bytes of text per class after which the sample takes no further row.
+SAMPLE_BYTES = 64 << 20
 EPOCHS, BATCH, RATE = 12, 32, 3e-3
 #: Chunks in one matrix product.
 _TOGETHER = 64
+#: Matrix products of a batch whose results training keeps; those of the others are worked out again.
+_HELD = 128
 _PAD = 256  # a byte value of its own for what lies past the end
 
 
@@ -50,6 +57,21 @@ def chunks(text: bytes) -> np.ndarray:
     return out
 
 
+class Chunked:
+    """The chunks of a text by their numbers, made when they are asked for."""
+
+    def __init__(self, text: bytes):
+        self.text = text
+
+    def __len__(self) -> int:
+        return len(range(0, max(1, len(self.text) - OVERLAP), CHUNK - OVERLAP))
+
+    def __getitem__(self, some: slice) -> np.ndarray:
+        first, last, _ = some.indices(len(self))
+        step = CHUNK - OVERLAP
+        return chunks(self.text[first * step : last * step + OVERLAP])
+
+
 Weights = dict[str, np.ndarray]
 
 
@@ -82,33 +104,72 @@ def _start(rng: np.random.Generator) -> Weights:
     }
 
 
-def _slopes(docs: list[np.ndarray], truth: np.ndarray, w: Weights) -> Weights:
+def _strips(sizes: list[int]) -> list[list[tuple[int, int, int]]]:
+    """Chunks of documents in lots of ``_TOGETHER``: (document, from, to) each."""
+    out: list[list[tuple[int, int, int]]] = []
+    room = 0
+    for doc, size in enumerate(sizes):
+        at = 0
+        while at < size:
+            if room == 0:
+                out.append([])
+                room = _TOGETHER
+            to = min(size, at + room)
+            out[-1].append((doc, at, to))
+            room -= to - at
+            at = to
+    return out
+
+
+def _slopes(docs: Sequence[np.ndarray | Chunked], truth: np.ndarray, w: Weights) -> Weights:
     """Gradient of the mean log loss over some documents; it flows through the largest responses alone."""
-    every = np.concatenate(docs)
-    spans = [slice(k, k + _TOGETHER) for k in range(0, len(every), _TOGETHER)]
-    raw, at = (np.concatenate(x) for x in zip(*(responses(every[s], w) for s in spans), strict=True))
-    top = np.tanh(raw)
+    sizes = [len(d) for d in docs]
+    strips = _strips(sizes)
+    every = np.arange(FILTERS)
+
+    def passed(strip: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = np.concatenate([docs[d][a:b] for d, a, b in strip])
+        raw, at = responses(rows, w)
+        return rows, np.tanh(raw), at
+
+    total, most = np.zeros((len(docs), FILTERS)), np.full((len(docs), FILTERS), -np.inf)
+    where = np.zeros((len(docs), FILTERS), np.int64)  # the chunk of each filter's maximum
+    held = []
+    for strip in strips:
+        result = passed(strip)
+        if len(held) < _HELD:
+            held.append(result)
+        begin = 0
+        for d, a, b in strip:
+            own = result[1][begin : begin + b - a]
+            begin += b - a
+            total[d] += own.sum(0)
+            best = own.argmax(0)
+            top = own[best, every]
+            where[d] = np.where(top > most[d], a + best, where[d])
+            most[d] = np.maximum(most[d], top)
+    feats = np.concatenate([total / np.array(sizes)[:, None], most], 1)
+    error = (1 / (1 + np.exp(-(feats @ w["out"] + w["base"][0]))) - truth) / len(docs)
     grad = {k: np.zeros_like(v) for k, v in w.items()}
-    d_top = np.zeros_like(top)
-    begin = 0
-    for doc, y in zip(docs, truth, strict=True):
-        own = top[begin : begin + len(doc)]
-        feats = combined(own)
-        error = (1 / (1 + np.exp(-(feats @ w["out"] + w["base"][0]))) - y) / len(docs)
-        grad["out"] += error * feats
-        grad["base"] += error
-        d_own = np.repeat((error * w["out"][:FILTERS] / len(doc))[None], len(doc), 0)
-        d_own[own.argmax(0), np.arange(FILTERS)] += error * w["out"][FILTERS:]
-        d_top[begin : begin + len(doc)] = d_own
-        begin += len(doc)
-    d_raw = d_top * (1 - top**2)
-    grad["bias"] = d_raw.sum(0)
-    for s in spans:
-        spots = at[s, :, None] * STRIDE + np.arange(WIDTH)
-        seen = np.take_along_axis(every[s, None, :], spots, 2)  # (chunk, filter, width) bytes under each largest response
-        x = w["embed"][seen].reshape(*at[s].shape, WIDTH * EMBED)
-        grad["filters"] += np.einsum("cfk,cf->kf", x, d_raw[s])
-        d_x = (d_raw[s, :, None] * w["filters"].T[None]).reshape(-1, EMBED)
+    grad["out"] += error @ feats
+    grad["base"] += error.sum()
+    to_mean = error[:, None] * w["out"][:FILTERS] / np.array(sizes)[:, None]
+    to_most = error[:, None] * w["out"][FILTERS:]
+    for k, strip in enumerate(strips):
+        rows, top, at = held[k] if k < len(held) else passed(strip)
+        d_top = np.concatenate([np.repeat(to_mean[d : d + 1], b - a, 0) for d, a, b in strip]).astype(top.dtype)
+        begin = 0
+        for d, a, b in strip:
+            here = every[(a <= where[d]) & (where[d] < b)]
+            d_top[begin + where[d][here] - a, here] += to_most[d][here]
+            begin += b - a
+        d_raw = d_top * (1 - top**2)
+        grad["bias"] += d_raw.sum(0)
+        spots = at[:, :, None] * STRIDE + np.arange(WIDTH)
+        seen = np.take_along_axis(rows[:, None, :], spots, 2)  # (chunk, filter, width) bytes under each largest response
+        x = w["embed"][seen].reshape(*at.shape, WIDTH * EMBED)
+        grad["filters"] += np.einsum("cfk,cf->kf", x, d_raw)
+        d_x = (d_raw[:, :, None] * w["filters"].T[None]).reshape(-1, EMBED)
         np.add.at(grad["embed"], seen.ravel(), d_x)
     return grad
 
@@ -123,7 +184,7 @@ def train(texts: list[bytes], truth: list[int], epochs: int = EPOCHS, seed: int
         order = rng.permutation(len(texts))
         for lot in range(0, len(texts), BATCH):
             some = order[lot : lot + BATCH]
-            grad, step = _slopes([chunks(texts[i]) for i in some], y[some], w), step + 1
+            grad, step = _slopes([Chunked(texts[i]) for i in some], y[some], w), step + 1
             for k in w:
                 mean[k] = 0.9 * mean[k] + 0.1 * grad[k]
                 square[k] = 0.99 * square[k] + 0.01 * grad[k] ** 2
@@ -148,7 +209,16 @@ def probability(text: bytes, w: Weights) -> float:
 _SHAPES = {"embed": (257, EMBED), "filters": (WIDTH * EMBED, FILTERS), "bias": (FILTERS,), "out": (2 * FILTERS,), "base": (1,)}
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS) -> Weights:
+def _within(drawn: DataFrame, sample_bytes: int) -> DataFrame:
+    """The rows of a sample, in the order of a hash, up to the one that brings a class to ``sample_bytes``."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    sizes = drawn.select("doc_id", "quality", size.alias("_size"))
+    ahead = Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    kept = sizes.select("doc_id", "quality", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).alias("_ahead")).where(F.col("_ahead") < sample_bytes)
+    return drawn.join(F.broadcast(kept.select("doc_id", "quality").distinct()), ["doc_id", "quality"], "left_semi")
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, sample_bytes: int = SAMPLE_BYTES) -> Weights:
     """Learn from ``doc_id, text`` and ``doc_id, quality`` (0 or 1; other values teach nothing)."""
     marks = labels.where("quality in (0, 1)").select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).distinct()
     sizes = {r["quality"]: r["n"] for r in marks.groupBy("quality").agg(F.count("*").alias("n")).collect()}
@@ -160,7 +230,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int =
     share = F.when(F.col("quality") == 0, min(grid, sample * grid // sizes[0])).otherwise(min(grid, sample * grid // sizes[1]))
     drawn = marks.where(F.pmod(F.xxhash64("_id"), F.lit(grid)) < share).limit(4 * sample)  # ids of the sample alone
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    drawn = texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).drop("_id")
+    drawn = stored(texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id")).drop("_id"), "sample")
+    drawn = _within(drawn, sample_bytes)
 
     def learn(own: pd.DataFrame) -> pd.DataFrame:
         own = own.assign(text=own["text"].fillna("")).sort_values(["doc_id", "quality", "text"], kind="stable")

@@ -57,3 +57,15 @@ def jaccard_groups(texts: dict[int, str | None], width: int, percent: int) -> di
                 a, b = root(i), root(j)
                 group[max(a, b)] = min(a, b)
     return {i: root(i) for i in sets}
+
+
+def kept_lines(rows: list[tuple], min_docs: int = 3) -> list[tuple]:
+    """doc_id -> kept text, one entry per row."""
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(UPPER)
+    holders: dict[str, list[int]] = {}
+    for doc, text, *_ in rows:
+        for k in {key(x) for x in (text or "").split("\n")}:
+            if len(k) >= 20:
+                holders.setdefault(k, []).append(doc)
+    gone = {k: max(h) for k, h in holders.items() if len(set(h)) >= min_docs}
+    return sorted((doc, "\n".join(x for x in (text or "").split("\n") if gone.get(key(x), doc) == doc)) for doc, text, *_ in rows)

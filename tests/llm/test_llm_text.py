@@ -8,7 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import xxhash
-from llm_cases import UPPER, documents, jaccard_groups, words
+from llm_cases import documents, jaccard_groups, kept_lines, words
 
 from ledgerlark.llm import line_dedup, near_dedup, quality_rules, queries, substring_dedup
 
@@ -43,21 +43,9 @@ def test_cuckoo_filter_inserts_and_deletes():
     assert not line_dedup.CuckooFilter(capacity=8).insert(keys[:2_000])
 
 
-def _lines(rows, min_docs=3):
-    """doc_id -> kept text, one entry per row."""
-    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(UPPER)
-    holders: dict[str, list[int]] = {}
-    for doc, text, *_ in rows:
-        for k in {key(x) for x in (text or "").split("\n")}:
-            if len(k) >= 20:
-                holders.setdefault(k, []).append(doc)
-    gone = {k: max(h) for k, h in holders.items() if len(set(h)) >= min_docs}
-    return sorted((doc, "\n".join(x for x in (text or "").split("\n") if gone.get(key(x), doc) == doc)) for doc, text, *_ in rows)
-
-
 def test_line_dedup(docs, no_docs):
     got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup(docs).collect())
-    assert got == _lines(documents())
+    assert got == kept_lines(documents())
     assert line_dedup.dedup(no_docs).count() == 0
 
 
@@ -73,7 +61,7 @@ def test_line_store_is_reversible(spark):
         live = live + part if step == "+" else [r for r in live if r not in part]
         store = store.insert(make(part)) if step == "+" else store.delete(make(part))
         got = sorted((r["doc_id"], r["text"]) for r in line_dedup.without_lines(make(live), store.drops()).collect())
-        assert got == _lines(live)
+        assert got == kept_lines(live)
     assert store.shards > 1 and store.filters.count() == store.shards
 
 
@@ -83,7 +71,7 @@ def test_repeated_and_missing_doc_ids(spark):
     rows = [(1, a), (2, a), (2, a), (3, b), (4, f"{b}\n{a}"), (4, b), (5, b), (5, c), (5, c), (6, c)]
     make = lambda some: spark.createDataFrame(some, "doc_id long, text string")
     got = sorted((r["doc_id"], r["text"]) for r in line_dedup.dedup(make(rows)).collect())
-    assert got == _lines(rows) and len(got) == len(rows) and (3, "") in got and (6, c) in got
+    assert got == kept_lines(rows) and len(got) == len(rows) and (3, "") in got and (6, c) in got
     nameless = line_dedup.dedup(make([*rows[:2], (None, a), (None, a)])).collect()
     assert all(r["text"] == a for r in nameless) and len(nameless) == 4
     store = line_dedup.LineStore.empty(spark).insert(make(rows[:3])).insert(make([(2, a), (2, b)]))

@@ -9,14 +9,15 @@ import zlib
 from collections import Counter
 from itertools import combinations, product
 
+import duckdb
 import numpy as np
 import pytest
-from llm_cases import prose
+from llm_cases import kept_lines, prose
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from ledgerlark.llm import decontamination, near_dedup, packing, pii, quality_classifier, url_rules
+from ledgerlark.llm import decontamination, near_dedup, packing, pii, quality_classifier, queries, url_rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -257,6 +258,36 @@ def test_decontamination_against_naive_tiling(spark):
     assert got == want and any(r[4] > 1 for r in want)
 
 
+def _leaked(text, items, width=5, percent=50):
+    """Whether a text holds some item, by naive tiling of the items of which enough could be covered at all."""
+    doc = re.findall(rb"[a-z0-9\x80-\xff]+", text.encode().lower())
+    for item in items:
+        own = min(width, len(item))
+        grams = {tuple(doc[k : k + own]) for k in range(len(doc) - own + 1)}
+        within = {at for k in range(len(item) - own + 1) if tuple(item[k : k + own]) in grams for at in range(k, k + own)}
+        if item and 100 * len(within) >= percent * len(item) and 100 * _naive_tiling(doc, item, own)[0] >= percent * len(item):
+            return True
+    return False
+
+
+def test_pipeline_filters_against_plain_versions(spark):
+    """What the stages for quality, lines and leaks keep of the rows that each gets: SQL, counted lines, naive tiling."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pairs = lambda df: sorted((r["doc_id"], r["text"]) for r in df.collect())
+    good = stages["quality_rules"](spark, docs, SF)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    kept = set(con.execute(f"SELECT doc_id FROM ({queries.SQL['op3_quality_rules']}) WHERE kept").df()["doc_id"])
+    assert pairs(good) == [p for p in pairs(docs) if p[0] in kept] and 0 < len(kept) < docs.count()
+    unrepeated = stages["line_dedup"](spark, good, SF)
+    assert pairs(unrepeated) == kept_lines(pairs(good)) != pairs(good)
+    benchmark = [r["text"] or "" for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    items = [re.findall(rb"[a-z0-9\x80-\xff]+", t.encode().lower()) for t in benchmark]
+    clean = stages["benchmark_decontamination"](spark, unrepeated, SF)
+    assert pairs(clean) == [p for p in pairs(unrepeated) if not _leaked(p[1], items)] != pairs(unrepeated)
+
+
 def _registered(spark, name):
     return [r.asDict() for r in entry.queries()[name](spark, SF).collect()]
 

@@ -145,8 +145,9 @@ class Catalog:
 
     @cached_property
     def int_installments_features(self) -> DataFrame:
-        return self._table("int_installments_features",
-                           ft.int_installments_features(self.stg_installments_payments))
+        src = getattr(self.src, "by_loan", self.src)
+        return self._table("int_installments_features", ft.int_installments_features(
+            st.stg_installments_payments(src["installments_payments"])))
 
     @cached_property
     def int_installments_customer_features(self) -> DataFrame:

@@ -11,18 +11,25 @@ way the reference's raw tables sit in the warehouse, and reads them back.
 from __future__ import annotations
 
 import threading
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import input_bytes
 from .fixture_views import VIEWS, ViewSpec
 
 # Driver tables read by the fixture views (TESTDATA.md).
 DRIVER_TABLES = ("customer", "supplier", "orders", "lineitem", "events")
 
 
+#: Bytes of the joined files that one task takes; a task's sorts and the hash tables after them need some 100 times as much.
+TASK_BYTES = 4 * 1024 * 1024
+#: Joins of fewer tasks are left to Spark, which broadcasts the smaller side.
+LEAST_TASKS = 32
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table with its own footer schema.
 
@@ -48,12 +55,24 @@ def _with_order_day(orders: DataFrame) -> DataFrame:
     return orders.withColumn("_o_day", day)
 
 
-def build_view(spec: ViewSpec, raw: Mapping[str, DataFrame]) -> DataFrame:
+def join_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for the join of lineitem and orders by the bytes of their files; 0 leaves the number to Spark."""
+    if not hasattr(spark, "_jvm"):  # a Spark Connect session sees no file sizes
+        return 0
+    n = -(-input_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "orders")]) // TASK_BYTES)
+    return n if n >= LEAST_TASKS else 0
+
+
+def build_view(spec: ViewSpec, raw: Mapping[str, DataFrame], tasks: Callable[[], int] = lambda: 0) -> DataFrame:
+    """``tasks`` tells into how many tasks a join with orders is dealt; 0 leaves it to Spark."""
     base = raw[spec.base]
     if spec.base == "orders":
         base = _with_order_day(base)
     if spec.join_orders:
-        base = base.join(_with_order_day(raw["orders"]), F.col("l_orderkey") == F.col("o_orderkey"))
+        orders = _with_order_day(raw["orders"])
+        if n := tasks():
+            base, orders = base.repartition(n, "l_orderkey"), orders.repartition(n, "o_orderkey")
+        base = base.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if spec.where:
         base = base.where(spec.where)
     df = base.selectExpr(*[f"{e} AS {n}" for n, e in spec.exprs("spark")])
@@ -61,9 +80,17 @@ def build_view(spec: ViewSpec, raw: Mapping[str, DataFrame]) -> DataFrame:
 
 
 class LazyTables(Mapping[str, DataFrame]):
-    """Name -> DataFrame, each built on first access and then reused."""
+    """Name -> DataFrame, each built on first access and then reused.
+
+    ``by_loan`` has the same tables for roll-ups by loan. They need no exchange
+    of their own after the join with orders, so its task holds the sorts of both
+    sides and the hash tables of every roll-up at once: what AQE coalesces by
+    shuffle bytes alone is too much for one task, and there the join is dealt by
+    :func:`join_tasks`. For all else Spark may still split a skewed order.
+    """
 
-    def __init__(self, builders: Mapping[str, object]) -> None:
+    def __init__(self, builders: Mapping[str, object], by_loan: LazyTables | None = None) -> None:
+        self.by_loan = by_loan or self
         self._builders = dict(builders)
         self._built: dict[str, DataFrame] = {}
         self._lock = threading.Lock()
@@ -96,8 +123,11 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     key = (_session_key(spark), sf_dir.rstrip("/"))
     if key not in _CACHE:
         raw = LazyTables({t: (lambda t=t: _read(spark, sf_dir, t)) for t in DRIVER_TABLES})
+        by_loan = LazyTables({
+            name: (lambda spec=spec: build_view(spec, raw, lambda: join_tasks(spark, sf_dir)))
+            for name, spec in VIEWS.items()})
         _CACHE[key] = LazyTables({
-            name: (lambda spec=spec: build_view(spec, raw)) for name, spec in VIEWS.items()})
+            name: (lambda spec=spec: build_view(spec, raw)) for name, spec in VIEWS.items()}, by_loan)
     return _CACHE[key]
 
 

@@ -24,10 +24,10 @@ from .fixture_views import VIEWS, ViewSpec
 DRIVER_TABLES = ("customer", "supplier", "orders", "lineitem", "events")
 
 
-#: Bytes of the joined files that one task takes; a task's sorts and the hash tables after them need some 100 times as much.
-TASK_BYTES = 4 * 1024 * 1024
+#: Bytes of the joined files that one task takes; a task's sorts and the hash tables after them need up to some 100 times as much.
+TASK_BYTES = 8 * 1024 * 1024
 #: Joins of fewer tasks are left to Spark, which broadcasts the smaller side.
-LEAST_TASKS = 32
+LEAST_TASKS = 16
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
